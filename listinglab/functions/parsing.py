@@ -35,48 +35,55 @@ def _lit(s: str) -> Column:
     return F.lit(s)
 
 
+def _after_first(c: Column, marker: str) -> Column:
+    """Text after the first ``marker`` up to the next one (byte-level
+    ``substring_index``; no regex, no char-offset arithmetic)."""
+    return F.substring_index(F.substring_index(c, marker, 2), marker, -1)
+
+
 def ticket_parts(col) -> tuple[Column, Column, Column, Column]:
     """Split ``<airline> Chuyến bay: <code> Hạng vé : <fare>``.
 
     Returns (airline, flight_code, fare_class, ok). When either marker is
     missing (or the text is NULL) all three parts are NULL. Only the text up
-    to a second occurrence of a marker is used.
+    to a second occurrence of a marker is used. (As a DataFrame operator,
+    :func:`listinglab.operators.cleaning.split_ticket` materialises the
+    middle part once instead of per output column.)
     """
     c = _c(col)
-    after_flight = F.split_part(c, _lit(TICKET_FLIGHT_MARKER), F.lit(2))
-    ok = (
-        c.isNotNull()
-        & (F.instr(c, TICKET_FLIGHT_MARKER) > 0)
-        & (F.instr(after_flight, TICKET_FARE_MARKER) > 0)
-    )
-    airline = F.trim(F.split_part(c, _lit(TICKET_FLIGHT_MARKER), F.lit(1)))
-    code = F.trim(F.split_part(after_flight, _lit(TICKET_FARE_MARKER), F.lit(1)))
-    fare = F.trim(F.split_part(after_flight, _lit(TICKET_FARE_MARKER), F.lit(2)))
+    return ticket_parts_from(c, _after_first(c, TICKET_FLIGHT_MARKER))
+
+
+def ticket_parts_from(c: Column, after_flight: Column) -> tuple[Column, Column, Column, Column]:
+    ok = (F.instr(c, TICKET_FLIGHT_MARKER) > 0) & (F.instr(after_flight, TICKET_FARE_MARKER) > 0)
+    airline = F.trim(F.substring_index(c, TICKET_FLIGHT_MARKER, 1))
+    code = F.trim(F.substring_index(after_flight, TICKET_FARE_MARKER, 1))
+    fare = F.trim(_after_first(after_flight, TICKET_FARE_MARKER))
     return (F.when(ok, airline), F.when(ok, code), F.when(ok, fare), ok)
 
 
 def currency(col) -> Column:
     """``1,249,000 VNĐ`` -> 1249000 (bigint); NULL stays NULL, bad -> NULL."""
     c = _c(col)
-    digits = F.trim(F.replace(F.split_part(c, _lit(CURRENCY_MARKER), F.lit(1)), _lit(","), _lit("")))
+    digits = F.trim(F.translate(F.substring_index(c, CURRENCY_MARKER, 1), ",", ""))
     return digits.try_cast("bigint")
 
 
-# ``HH:mm dd/MM/yyyy`` (an optional comma after the time is accepted).
-_DAYFIRST = r"^\s*(\d{1,2}):(\d{1,2}),?\s+(\d{1,2})/(\d{1,2})/(\d{4})\s*$"
-
-
 def dayfirst_timestamp(col) -> Column:
     """Day-first ``HH:mm dd/MM/yyyy`` -> timestamp_ntz; invalid -> NULL.
 
-    Built from the numeric fields with ``try_make_timestamp_ntz`` so the
-    result never depends on the session time zone.
+    The date part goes through ``try_to_date`` and the time is added as
+    minutes, so the result never depends on the session time zone. An
+    optional comma after the time is accepted.
     """
-    c = _c(col)
-    parts = [F.regexp_extract(c, _DAYFIRST, i).try_cast("int") for i in range(1, 6)]
-    hour, minute, day, month, year = parts
-    ts = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
-    return F.when(c.rlike(_DAYFIRST), ts)
+    c = F.trim(_c(col))
+    time_s = F.replace(F.substring_index(c, " ", 1), F.lit(","), F.lit(""))
+    date_s = F.substring_index(c, " ", -1)
+    day = F.try_to_date(date_s, "d/M/yyyy")
+    hour = F.substring_index(time_s, ":", 1).try_cast("int")
+    minute = F.substring_index(time_s, ":", -1).try_cast("int")
+    ok = (F.instr(time_s, ":") > 0) & hour.between(0, 23) & minute.between(0, 59)
+    return F.when(ok, F.timestamp_add("MINUTE", hour * 60 + minute, day.cast("timestamp_ntz")))
 
 
 def iso_timestamp(col) -> Column:
@@ -93,8 +100,9 @@ def aircraft(col) -> Column:
 def duration_hours(col) -> Column:
     """``H giờ M phút`` -> round(H + M/60, 2); no hour marker -> NULL."""
     c = _c(col)
-    hours = F.trim(F.split_part(c, _lit(HOURS_MARKER), F.lit(1))).try_cast("double")
-    mins = F.trim(F.replace(F.split_part(c, _lit(HOURS_MARKER), F.lit(2)), _lit(MINUTES_MARKER), _lit(""))).try_cast("double")
+    hours = F.trim(F.substring_index(c, HOURS_MARKER, 1)).try_cast("double")
+    rest = _after_first(c, HOURS_MARKER)
+    mins = F.trim(F.replace(rest, _lit(MINUTES_MARKER), _lit(""))).try_cast("double")
     ok = F.instr(c, HOURS_MARKER) > 0
     return F.when(ok, F.round(hours + mins / F.lit(60.0), 2))
 
@@ -113,11 +121,25 @@ def checked_kg(col) -> Column:
     return F.when(c.isNull() | (c == _lit(CHECKED_PLACEHOLDER)), F.lit(None).cast("int")).otherwise(kg)
 
 
+# One quoted item of a Python list literal ('...' or "...", backslash escapes).
+_ITEM = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
+_LIST = rf"^\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?\s*)?\]\s*$"
+_EMPTY = r"^\s*\[\s*\]\s*$"
+
+
 def policy_list(col) -> Column:
-    """P10: Python-literal list text -> array<string>; NULL or bad text -> []."""
+    """P10: Python-literal list of strings -> array<string>; NULL or a text
+    that is not such a literal -> [].
+
+    Validated by one regex and split on the quote-comma-quote boundaries
+    (all code-generated expressions; ``from_json`` would drop the whole
+    projection to interpreted mode)."""
     c = _c(col)
-    parsed = F.from_json(c, "array<string>", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
-    return F.coalesce(parsed, F.array().cast("array<string>"))
+    inner = F.regexp_replace(c, r"""^\s*\[\s*['"]|['"]\s*,?\s*\]\s*$""", "")
+    items = F.split(inner, r"""['"]\s*,\s*['"]""")
+    unescaped = F.split(F.regexp_replace(F.array_join(items, "\u0001"), r"\\(.)", "$1"), "\u0001")
+    empty = F.array().cast("array<string>")
+    return F.when(c.isNull() | ~c.rlike(_LIST) | c.rlike(_EMPTY), empty).otherwise(unescaped)
 
 
 def policy_labels(col) -> Column:
@@ -127,11 +149,11 @@ def policy_labels(col) -> Column:
 
 def location_name(col) -> Column:
     """``Name (CODE)`` -> ``Name``."""
-    return F.trim(F.split_part(_c(col), _lit("("), F.lit(1)))
+    return F.trim(F.substring_index(_c(col), "(", 1))
 
 
 def location_code(col) -> Column:
     """``Name (CODE)`` -> ``CODE``; no ``(`` -> NULL (a reject)."""
     c = _c(col)
-    code = F.trim(F.replace(F.split_part(c, _lit("("), F.lit(2)), _lit(")"), _lit("")))
+    code = F.trim(F.replace(_after_first(c, "("), _lit(")"), _lit("")))
     return F.when(F.instr(c, "(") > 0, code)

@@ -83,8 +83,8 @@ def policies_by_fare(df: DataFrame, airline: str = "Airline", fare: str = "Fare
                      col: str = "Refund Policy") -> DataFrame:
     """Set of policy labels (``- `` stripped) per (airline, fare); an
     empty list contributes a NULL member."""
-    e = df.select(_q(airline).alias(airline), _q(fare).alias(fare),
-                  F.replace(F.explode_outer(_q(col)), F.lit("- "), F.lit("")).alias("policy"))
+    e = df.select(_q(airline).alias(airline), _q(fare).alias(fare), F.explode_outer(_q(col)).alias("_p"))
+    e = e.select(airline, fare, F.replace(F.col("_p"), F.lit("- "), F.lit("")).alias("policy"))
     return e.groupBy(airline, fare).agg(_set_keep_null(F.col("policy")).alias("policies"))
 
 
@@ -113,9 +113,11 @@ def option_rows(df: DataFrame) -> DataFrame:
                                       F.col("`Fare Class`").alias("key2"), F.explode_outer("policies").alias("item"))
     bag = baggage_by_fare(df)
     carry = bag.select(F.lit("Baggage carry_on").alias("section"), F.col("Airline").alias("key1"),
-                       F.col("`Fare Class`").alias("key2"), F.explode_outer("carry_on").cast("string").alias("item"))
+                       F.col("`Fare Class`").alias("key2"),
+                       F.explode_outer(F.transform("carry_on", lambda x: x.cast("string"))).alias("item"))
     checked = bag.select(F.lit("Baggage checked").alias("section"), F.col("Airline").alias("key1"),
-                         F.col("`Fare Class`").alias("key2"), F.explode_outer("checked").cast("string").alias("item"))
+                         F.col("`Fare Class`").alias("key2"),
+                         F.explode_outer(F.transform("checked", lambda x: x.cast("string"))).alias("item"))
     return cats.unionByName(dur).unionByName(pol).unionByName(carry).unionByName(checked)
 
 

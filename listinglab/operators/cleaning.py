@@ -29,8 +29,13 @@ CLEAN_ORDER = [
 
 def split_ticket(df: DataFrame, col: str = "Ticket Price") -> DataFrame:
     """Add Airline, Flight Code, Fare Class; drop the source column."""
-    airline, code, fare, _ = P.ticket_parts(F.col(f"`{col}`"))
-    return df.withColumns({"Airline": airline, "Flight Code": code, "Fare Class": fare}).drop(col)
+    c = F.col(f"`{col}`")
+    # The middle part feeds three outputs: a projection of its own keeps it
+    # from being recomputed inside each CASE branch.
+    staged = df.withColumn("_after_flight", P._after_first(c, P.TICKET_FLIGHT_MARKER))
+    airline, code, fare, _ = P.ticket_parts_from(c, F.col("_after_flight"))
+    return staged.withColumns({"Airline": airline, "Flight Code": code, "Fare Class": fare}) \
+        .drop(col, "_after_flight")
 
 
 def clean_currency(df: DataFrame, cols: Iterable[str] = PRICE_COLUMNS) -> DataFrame:
@@ -38,13 +43,35 @@ def clean_currency(df: DataFrame, cols: Iterable[str] = PRICE_COLUMNS) -> DataFr
     return df.withColumns({c: P.currency(F.col(f"`{c}`")) for c in cols})
 
 
+def with_dayfirst(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """P3 as staged projections: time text and date first, then hour/minute,
+    then the timestamp. Each stage's parts are referenced several times, so
+    Catalyst keeps the stages apart and every part is computed once per row
+    (the one-expression form, :func:`listinglab.functions.parsing.dayfirst_timestamp`,
+    repeats them)."""
+    cols = list(cols)
+    tmp = {}
+    for i, c in enumerate(cols):
+        v = F.trim(F.col(f"`{c}`"))
+        tmp[f"_t{i}"] = F.replace(F.substring_index(v, " ", 1), F.lit(","), F.lit(""))
+        tmp[f"_d{i}"] = F.try_to_date(F.substring_index(v, " ", -1), "d/M/yyyy").cast("timestamp_ntz")
+    df = df.withColumns(tmp)
+    df = df.withColumns({k: v for i in range(len(cols)) for k, v in (
+        (f"_h{i}", F.when(F.instr(f"_t{i}", ":") > 0, F.substring_index(f"_t{i}", ":", 1).try_cast("int"))),
+        (f"_m{i}", F.when(F.instr(f"_t{i}", ":") > 0, F.substring_index(f"_t{i}", ":", -1).try_cast("int"))))})
+    out = {}
+    for i, c in enumerate(cols):
+        h, m = F.col(f"_h{i}"), F.col(f"_m{i}")
+        ok = h.between(0, 23) & m.between(0, 59)
+        out[c] = F.when(ok, F.timestamp_add("MINUTE", h * 60 + m, F.col(f"_d{i}")))
+    drop = [f"_{p}{i}" for i in range(len(cols)) for p in "tdhm"]
+    return df.withColumns(out).drop(*drop)
+
+
 def parse_times(df: DataFrame) -> DataFrame:
     """P3 + P4: day-first departure/arrival, ISO scrape time."""
-    return df.withColumns({
-        "Departure Time": P.dayfirst_timestamp(F.col("`Departure Time`")),
-        "Arrival Time": P.dayfirst_timestamp(F.col("`Arrival Time`")),
-        "Scrape Time": P.iso_timestamp(F.col("`Scrape Time`")),
-    })
+    df = with_dayfirst(df, ["Departure Time", "Arrival Time"])
+    return df.withColumn("Scrape Time", P.iso_timestamp(F.col("`Scrape Time`")))
 
 
 def coerce_times(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -160,9 +187,11 @@ def scoring_frame(requests: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- P14 rejects
 
 def reject_reasons(rules: Mapping[str, Column]) -> Column:
-    """Array of the names of every rule that flags the row (empty = valid)."""
-    flagged = [F.when(cond, F.lit(name)) for name, cond in rules.items()]
-    return F.filter(F.array(*flagged), lambda x: x.isNotNull())
+    """Comma-separated names of every rule that flags the row ('' = valid).
+
+    ``concat_ws`` skips NULLs and is code-generated (an array ``filter``
+    with a lambda would not be)."""
+    return F.concat_ws(",", *[F.when(cond, F.lit(name)) for name, cond in rules.items()])
 
 
 def partition_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -171,8 +200,13 @@ def partition_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataF
     Both outputs come from one plan; persist ``df`` if both are consumed.
     """
     tagged = df.withColumn(REJECT_REASONS, reject_reasons(rules))
-    valid = tagged.where(F.size(REJECT_REASONS) == 0).drop(REJECT_REASONS)
-    rejects = tagged.where(F.size(REJECT_REASONS) > 0)
+    # Row-preserving generator (one-element array): Catalyst cannot push a
+    # predicate on generated columns below it, so the parse expressions are
+    # evaluated once in the projection instead of again inside the filter.
+    cols = tagged.columns
+    fenced = tagged.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
+    valid = fenced.where(F.col(REJECT_REASONS) == "").drop(REJECT_REASONS)
+    rejects = fenced.where(F.col(REJECT_REASONS) != "")
     return valid, rejects
 
 

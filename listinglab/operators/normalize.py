@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import dim_id
 from ..functions.text import bubbles
-from ..schemas import SCHEDULE_COLUMNS
+from ..schemas import SCHEDULE_COLUMNS, TICKET_COLUMNS
 from ..session import broadcast_if_small
 from .keys import consecutive_index
 
@@ -73,9 +73,12 @@ def key_lookup(fact: DataFrame, dim: DataFrame, on: str, out: str | None = None,
 
 
 def make_policies(df: DataFrame, airlines: DataFrame) -> DataFrame:
-    """Distinct (airline, fare, policy) with the airline id joined on."""
-    trip = df.select("Airline", "Fare Class", "Refund Policy").distinct()
-    return key_lookup(trip, airlines, "Airline").select("Airline_id", "Fare Class", "Refund Policy")
+    """Distinct (airline, fare, policy) with the airline id joined on.
+
+    The lookup is a map-side broadcast join, so one distinct (one shuffle)
+    after it suffices."""
+    trip = df.select("Airline", "Fare Class", "Refund Policy")
+    return key_lookup(trip, airlines, "Airline").select("Airline_id", "Fare Class", "Refund Policy").distinct()
 
 
 def make_schedules(df: DataFrame) -> DataFrame:
@@ -83,24 +86,34 @@ def make_schedules(df: DataFrame) -> DataFrame:
     return df.select(*[_q(c) for c in SCHEDULE_COLUMNS]).distinct()
 
 
-def _ticket_base(df: DataFrame, airlines: DataFrame) -> DataFrame:
-    rest = df.drop("Departure Location", "Arrival Location", "Refund Policy").distinct()
-    return key_lookup(rest, airlines, "Airline")
+def make_tickets(df: DataFrame, airlines: DataFrame) -> DataFrame:
+    """Fact rows: every remaining column + airline id, distinct.
+
+    Equivalent to the source's distinct -> lookup -> drop -> distinct: the
+    first distinct cannot change the final distinct set, so the fact is
+    shuffled once."""
+    keep = [c for c in TICKET_COLUMNS if c != "Airline_id"] + ["Airline"]
+    rest = df.select(*[_q(c) for c in keep])
+    return key_lookup(rest, airlines, "Airline").select(*[_q(c) for c in TICKET_COLUMNS]).distinct()
 
 
-def make_tickets(df: DataFrame, airlines: DataFrame) -> DataFrame:
-    """Fact rows: every remaining column, distinct."""
-    base = _ticket_base(df, airlines)
-    return base.drop("Arrival Location Code", "Flight Duration", "Arrival Time", "Aircraft Type").distinct()
+def materialize_dim(dim: DataFrame) -> DataFrame:
+    """Cache a small dimension once so every lookup reuses it (cache is
+    rebuilt from lineage if an executor is lost)."""
+    dim = dim.cache()
+    dim.count()
+    return dim
 
 
 def normalize(df: DataFrame, registry: DataFrame | None = None) -> dict[str, DataFrame]:
     """All five tables from one cleaned input.
 
-    The input feeds five plans; persist it (or read it from a written table)
-    when materialising all five.
+    The airline dimension (one row per airline) is built once and cached;
+    the input feeds five plans, so persist it (or read it from a written
+    table, as :func:`listinglab.plans.flows.run_listing_etl` does) when
+    materialising all five.
     """
-    airlines = make_airlines(df, registry)
+    airlines = materialize_dim(make_airlines(df, registry))
     return {
         "airport": make_airports(df),
         "airline": airlines,

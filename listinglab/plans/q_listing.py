@@ -219,7 +219,7 @@ def p13_project(spark, sf):
     "SELECT reject_reason AS reasons, count(*) AS n FROM lc WHERE rejected GROUP BY ALL"))
 def p14_rejects(spark, sf):
     _, rej = CL.clean_listings_split(raw(spark, sf))
-    return rej.groupBy(F.array_join(CL.REJECT_REASONS, ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
+    return rej.groupBy(F.col(CL.REJECT_REASONS).alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("p15_fill_missing", with_listing("SELECT coalesce(e_checked, 0) AS checked FROM cl"))
@@ -512,7 +512,7 @@ def a5_value_counts(spark, sf):
 
 
 @register("a7_policies_by_fare", with_listing(
-    "SELECT airline, fare, array_to_string(list_transform(list_sort(list(DISTINCT label) FILTER (WHERE label IS NOT NULL), 'ASC', 'NULLS LAST')"
+    "SELECT airline, fare, array_to_string(list_transform(list_sort(coalesce(list(DISTINCT label) FILTER (WHERE label IS NOT NULL), CAST([] AS VARCHAR[])), 'ASC', 'NULLS LAST')"
     " || CASE WHEN bool_or(label IS NULL) THEN [NULL::VARCHAR] ELSE CAST([] AS VARCHAR[]) END, lambda x: coalesce(x, 'NULL')), '|') AS policies FROM ("
     " SELECT airline, fare, replace(label0, '- ', '') AS label FROM (SELECT e_airline AS airline, e_fare AS fare,"
     " unnest(CASE WHEN len(e_policy) = 0 THEN [NULL::VARCHAR] ELSE e_policy END) AS label0 FROM cl)"
@@ -524,7 +524,7 @@ def a7_policies_by_fare(spark, sf):
 
 
 def _set_agg(col: str) -> str:
-    return (f"array_to_string(list_transform(list_sort(list(DISTINCT {col}) FILTER (WHERE {col} IS NOT NULL), 'ASC', 'NULLS LAST')"
+    return (f"array_to_string(list_transform(list_sort(coalesce(list(DISTINCT {col}) FILTER (WHERE {col} IS NOT NULL), CAST([] AS INTEGER[])), 'ASC', 'NULLS LAST')"
             f" || CASE WHEN bool_or({col} IS NULL) THEN [NULL] ELSE CAST([] AS INTEGER[]) END, lambda x: coalesce(CAST(x AS VARCHAR), 'NULL')), '|')")
 
 

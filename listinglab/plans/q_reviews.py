@@ -180,8 +180,12 @@ def f13_comma_int(spark, sf):
                                   T.comma_int(F.element_at(r, F.lit("Terrible"))).alias("terrible"))
 
 
-_STARS_SQL = ("repeat('★', CAST(floor(r) AS INTEGER)) || CASE WHEN r - floor(r) >= 0.5 THEN '⯪' ELSE '' END || "
-              "repeat('☆', 5 - CAST(floor(r) AS INTEGER) - CASE WHEN r - floor(r) >= 0.5 THEN 1 ELSE 0 END)")
+def _stars_sql(r: str) -> str:
+    return (f"repeat('★', CAST(floor({r}) AS INTEGER)) || CASE WHEN {r} - floor({r}) >= 0.5 THEN '⯪' ELSE '' END || "
+            f"repeat('☆', 5 - CAST(floor({r}) AS INTEGER) - CASE WHEN {r} - floor({r}) >= 0.5 THEN 1 ELSE 0 END)")
+
+
+_STARS_SQL = _stars_sql("r")
 
 
 @register("f14_stars", with_info(
@@ -308,7 +312,8 @@ def w3b_top_n_per_airline(spark, sf):
 
 
 @register("u2_union_many", with_reviews(
-    "SELECT source AS airline, count(*) AS n, count(quality) AS n_quality FROM rv GROUP BY ALL"))
+    "SELECT source AS airline, count(*) AS n, "
+    "count(CASE WHEN CAST(substr(source, 4) AS INTEGER) % 2 = 0 THEN quality END) AS n_quality FROM rv GROUP BY ALL"))
 def u2_union_many(spark, sf):
     r = reviews(spark, sf)
     parts = [r.where(F.col("Airline") == F.lit(f"src{i}")).drop("quality" if i % 2 else "toxic") for i in range(20)]
@@ -352,7 +357,7 @@ def l5_reviews(spark, sf):
 
 @register("m19_summary", with_info(
     "SELECT i.airline_id::INTEGER AS airline_id, i.s_name AS name, "
-    f"{_STARS_SQL.replace('r', 'x.r')} AS rating_stars, "
+    f"{_stars_sql('x.r')} AS rating_stars, "
     "CASE WHEN k % 7 = 0 THEN 0 ELSE 3 END AS n_mentions, "
     "CASE WHEN k % 11 = 0 THEN NULL ELSE 3 END AS rating_attrs "
     "FROM inf i, (SELECT k AS kk, 1 + (k % 9) / 2.0 AS r FROM inf) x WHERE x.kk = i.k"))
