@@ -193,8 +193,11 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0
     kept and interpolated. A tie-breaker spreads a hot value over several
     range partitions. Returns (q, value).
     """
-    vals = df.select(_q(col).cast("double").alias("v")).where(F.col("v").isNotNull()) \
-        .withColumn("_t", F.monotonically_increasing_id())
+    # Deterministic tie-breaker (hash of the whole source row): equal values
+    # from different rows can land in different range partitions, and every
+    # re-execution numbers the rows identically.
+    vals = df.select(_q(col).cast("double").alias("v"), F.xxhash64(*[_q(c) for c in df.columns]).alias("_t")) \
+        .where(F.col("v").isNotNull())
     idx = consecutive_index(vals, [F.col("v"), F.col("_t")], "_i", start=0)
     n = idx.agg(F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession

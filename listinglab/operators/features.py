@@ -99,18 +99,33 @@ def _categories(cats: DataFrame | dict) -> dict[str, list[str]]:
     return out
 
 
+def onehot_names(cats: dict) -> list[tuple[str, str, str]]:
+    """(column, category, output name) for the narrow one-hot columns.
+
+    Categories are case-sensitive (``C_Boss`` and ``C_BOSS`` are two fares)
+    but Spark column names are not, so a name that repeats another one
+    case-insensitively gets a ``__<n>`` suffix."""
+    out, seen = [], {}
+    for col, values in cats.items():
+        if len(values) > WIDE_ONEHOT:
+            continue
+        for val in values:
+            name = fold_name(f"{col}_{val}")
+            k = name.lower()
+            seen[k] = seen.get(k, 0) + 1
+            out.append((col, val, name if seen[k] == 1 else f"{name}__{seen[k]}"))
+    return out
+
+
 def onehot(df: DataFrame, cats: DataFrame | dict) -> DataFrame:
     """M5: ``<col>_<value>`` 0/1 columns in sorted category order; unseen
     values -> all 0. Columns with more than WIDE_ONEHOT categories become
     one sparse vector column (see :func:`onehot_vector`)."""
     c = _categories(cats)
     out = {}
-    for col, values in c.items():
-        if len(values) > WIDE_ONEHOT:
-            continue
+    for col, val, name in onehot_names(c):
         v = F.coalesce(_q(col).cast("string"), F.lit(NULL_TOKEN))
-        for val in values:
-            out[fold_name(f"{col}_{val}")] = (v == F.lit(val)).cast("tinyint")
+        out[name] = (v == F.lit(val)).cast("tinyint")
     res = df.withColumns(out)
     wide = [col for col, values in c.items() if len(values) > WIDE_ONEHOT]
     for col in wide:
@@ -174,8 +189,7 @@ def feature_table(frame: DataFrame, model: FeatureModel, keep: Sequence[str] = (
     f = scale(f, model.scaler)
     f = onehot(f, model.categories)
     f = multilabel(f, model.labels)
-    oh = [fold_name(f"{c}_{v}") for c in CATEGORICAL for v in model.categories.get(c, [])
-          if len(model.categories.get(c, [])) <= WIDE_ONEHOT]
+    oh = [name for _, _, name in onehot_names({c: model.categories.get(c, []) for c in CATEGORICAL})]
     ml = [fold_name(l) for l in model.labels]
     cal = ["Departure_Hour", "Departure_DayOfWeek", "Days_Before_Departure"]
     cols = NUMERIC + oh + ml + cal

@@ -19,15 +19,19 @@ def consecutive_index(df: DataFrame, order: Sequence[Column], out: str, start: i
                       partitions: int | None = None) -> DataFrame:
     """Number rows of ``df`` 1..n (or from ``start``) in ``order``.
 
-    ``df`` should already be distinct on the ordering key (ties get an
-    arbitrary but consistent order within a partition otherwise).
+    The numbered rows are checkpointed once, so counts and ids always agree;
+    ties on the ordering get an arbitrary order within a partition.
     """
+    from ..session import cut_lineage
+
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    # Counted from the same numbered subtree, so both branches share one
-    # range exchange (Spark reuses the identical shuffle) and agree.
+    # Materialise the numbered rows once (reliable checkpoint in the shared
+    # folder): the per-partition counts and the final ids must come from the
+    # same range partitioning, which a re-execution need not reproduce.
+    local = cut_lineage(local)
     counts = local.groupBy("_pid").agg(F.max("_local").alias("_cnt"))
     offsets = counts.select(
         "_pid",

@@ -1 +1,244 @@
-"""Checkable queries over features, models and scoring."""
+"""Checkable queries over features, models and scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import fold_name
+from ..operators import features as FE
+from ..operators import modeling as M
+from ..operators import sentiment as SE
+from ..operators.normalize import normalize
+from . import q_listing as QL
+from . import q_reviews as QR
+from .oracle import with_listing
+from .registry import register
+from ..session import cut_lineage
+
+
+def _q(c: str):
+    return F.col(f"`{c}`")
+
+
+def frame(spark: SparkSession, sf: str) -> DataFrame:
+    return FE.training_frame(normalize(QL.clean(spark, sf)))
+
+
+_JOINED = ("FROM ticket t JOIN schedule s ON t.e_dep_time = s.e_dep_time AND t.e_flight = s.e_flight "
+           "AND t.e_dep_code = s.e_dep_code JOIN refund_policy p ON t.airline_id = p.airline_id AND t.e_fare = p.fare")
+
+
+@register("m1_training_frame", with_listing(
+    "SELECT count(*) AS n, sum(t.e_total) AS total, sum(coalesce(t.e_checked, 0)) AS checked, "
+    "sum(len(p.policy)) AS labels, count(DISTINCT s.e_aircraft) AS aircraft " + _JOINED, tables=True), bench=True)
+def m1_training_frame(spark, sf):
+    f = frame(spark, sf)
+    return f.agg(F.count(F.lit(1)).alias("n"), F.sum("Total_Price").alias("total"),
+                 F.sum("Checked_Baggage").cast("bigint").alias("checked"),
+                 F.sum(F.size("Refund_Policy")).cast("bigint").alias("labels"),
+                 F.count_distinct("Aircraft_Type").alias("aircraft"))
+
+
+_NUMS = {"Carry-on_Baggage": "t.e_carry", "Checked_Baggage": "coalesce(t.e_checked, 0)",
+         "Flight_Duration": "s.e_duration", "Total_Price": "t.e_total"}
+
+
+@register("m4_zscore", with_listing(" UNION ALL ".join(
+    f"SELECT '{k}' AS column_name, round(avg({v}), 4) AS mean, "
+    f"round(CASE WHEN stddev_pop({v}) = 0 THEN 1.0 ELSE stddev_pop({v}) END, 4) AS std {_JOINED}"
+    for k, v in _NUMS.items()), tables=True))
+def m4_zscore(spark, sf):
+    p = FE.fit_scaler(frame(spark, sf), list(_NUMS))
+    return p.select("column_name", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+
+
+_CATS = {"Fare_Class": "t.e_fare", "Airline_id": "t.airline_id", "Arrival_Location_Code": "s.e_arr_code",
+         "Aircraft_Type": "s.e_aircraft"}
+
+
+@register("m5_onehot", with_listing("SELECT DISTINCT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{k}' AS column_name, coalesce(CAST({v} AS VARCHAR), 'None') AS category {_JOINED}"
+    for k, v in _CATS.items()) + ")", tables=True))
+def m5_onehot(spark, sf):
+    return FE.fit_onehot(frame(spark, sf), FE.CATEGORICAL)
+
+
+@register("m6_multilabel", with_listing(
+    "SELECT DISTINCT replace(l, '- ', '') AS label FROM (SELECT unnest(p.policy) AS l " + _JOINED + ")", tables=True))
+def m6_multilabel(spark, sf):
+    return FE.fit_multilabel(frame(spark, sf))
+
+
+def _fold_sql(x: str) -> str:
+    return (f"replace(replace(trim(replace(replace(strip_accents({x}), 'đ', 'd'), 'Đ', 'D'), '- '), ' ', '_'), ',', '')")
+
+
+@register("m10_features", with_listing(
+    "SELECT feature, round(value, 4) AS value FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{k}_' || coalesce(CAST({v} AS VARCHAR), 'None') AS feature, CAST(count(*) AS DOUBLE) AS value "
+        f"{_JOINED} GROUP BY ALL" for k, v in _CATS.items())
+    + " UNION ALL SELECT " + _fold_sql("replace(l, '- ', '')") + " AS feature, CAST(count(*) AS DOUBLE) AS value FROM "
+      "(SELECT unnest(list_distinct(p.policy)) AS l " + _JOINED + ") GROUP BY ALL"
+    + " UNION ALL SELECT 'Departure_Hour', CAST(sum(hour(t.e_dep_time)) AS DOUBLE) " + _JOINED
+    + " UNION ALL SELECT 'Departure_DayOfWeek', CAST(sum(isodow(t.e_dep_time) - 1) AS DOUBLE) " + _JOINED
+    + " UNION ALL SELECT 'Days_Before_Departure', CAST(sum(floor(date_diff('microsecond', t.e_scrape, t.e_dep_time) "
+      "/ 86400000000.0)) AS DOUBLE) " + _JOINED
+    + ")", tables=True))
+def m10_features(spark, sf):
+    f = frame(spark, sf)
+    fm = FE.fit_features(f)
+    t = FE.feature_table(f, fm)
+    cols = [c for c in fm.columns if c not in FE.NUMERIC]
+    long = t.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]) \
+        .unpivot([], cols, "feature", "v")
+    return long.groupBy("feature").agg(F.round(F.sum("v"), 4).alias("value"))
+
+
+@register("m9_metrics", with_listing(
+    "SELECT round(1 - sum((y - p) * (y - p)) / (sum(y * y) - count(y) * avg(y) * avg(y)), 6) AS r2, "
+    "round(sqrt(sum((y - p) * (y - p)) / count(y)), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae, count(y) AS n "
+    "FROM (SELECT CAST(e_total AS DOUBLE) AS y, CAST(e_price AS DOUBLE) AS p FROM cl)"))
+def m9_metrics(spark, sf):
+    c = QL.clean(spark, sf).select(F.col("`Total Price`").cast("double").alias("Total_Price"),
+                                   F.col("`Price per Ticket`").cast("double").alias("prediction"))
+    m = M.metrics(c)
+    return m.select(F.round("r2", 6).alias("r2"), F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), "n")
+
+
+@register("m17b_inverse_scale", with_listing("SELECT CAST(t.e_total AS DOUBLE) AS price " + _JOINED, tables=True))
+def m17b_inverse_scale(spark, sf):
+    f = frame(spark, sf)
+    p = {r["column_name"]: (r["mean"], r["std"]) for r in FE.fit_scaler(f, ["Total_Price"]).collect()}
+    s = FE.scale(f, p)
+    mean, std = p["Total_Price"]
+    return s.select(F.round(FE.inverse_scale(F.col("Total_Price"), mean, std), 4).alias("price"))
+
+
+# ------------------------------------------------------------- model (rows)
+
+def _prepared(spark, sf):
+    # The training frame feeds several fits and parameter tables: cut its
+    # lineage once (reliable checkpoint in the shared folder).
+    f = cut_lineage(frame(spark, sf))
+    keyed = f.withColumn("_key", F.xxhash64(*[F.col(f"`{c}`") for c in f.columns if c != "Refund_Policy"],
+                                            F.array_join("Refund_Policy", "|")))
+    split = M.split3(keyed, ["_key"])
+    fm = FE.fit_features(split, split.where("split != 'test'"))
+    feats = FE.assemble(FE.feature_table(split, fm, keep=["_key", "split"]), fm)
+    return feats, fm
+
+
+@register("m7_split")
+def m7_split(spark, sf):
+    """Rows per split (72/8/20 by hash of the row key)."""
+    f = frame(spark, sf)
+    keyed = f.withColumn("_key", F.xxhash64(*[F.col(f"`{c}`") for c in f.columns if c != "Refund_Policy"]))
+    return M.split3(keyed, ["_key"]).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _fit_one(spark, sf, name):
+    feats, _ = _prepared(spark, sf)
+    train = feats.where("split != 'test'").cache()
+    n = train.count()
+    y_std = train.agg(F.stddev_samp(FE.TARGET)).first()[0] or 1.0
+    est = dict(M.candidates(n, y_std))[name]
+    model = est.fit(train)
+    rep = M.metrics(model.transform(feats.where("split = 'test'")))
+    return rep.select(F.lit(name).alias("model_name"), "r2", "rmse", "mae", "n")
+
+
+@register("m11_linear")
+def m11_linear(spark, sf):
+    return _fit_one(spark, sf, "LinearRegression")
+
+
+@register("m12_ridge")
+def m12_ridge(spark, sf):
+    return _fit_one(spark, sf, "Ridge")
+
+
+@register("m13_forest")
+def m13_forest(spark, sf):
+    return _fit_one(spark, sf, "RandomForest")
+
+
+@register("m14_gbt")
+def m14_gbt(spark, sf):
+    return _fit_one(spark, sf, "GBT_fast")
+
+
+@register("m8_cv")
+def m8_cv(spark, sf):
+    """5-fold CV of the candidate list (mean R², mean RMSE per model)."""
+    feats, _ = _prepared(spark, sf)
+    tv = M.fold_column(feats.where("split = 'train'"), ["_key"]).cache()
+    n = tv.count()
+    y_std = tv.agg(F.stddev_samp(FE.TARGET)).first()[0] or 1.0
+    cands = [c for c in M.candidates(n, y_std) if c[0] in ("LinearRegression", "Ridge")]
+    return M.cross_validate(cands, tv)
+
+
+@register("m15_tune")
+def m15_tune(spark, sf):
+    """Grid search (Ridge family grid) on R² with 5 folds."""
+    from pyspark.ml.regression import LinearRegression
+
+    feats, _ = _prepared(spark, sf)
+    train = feats.where("split = 'train'").cache()
+    est = LinearRegression(featuresCol="features", labelCol=FE.TARGET, elasticNetParam=0.0, standardization=False)
+    best = M.tune(est, M.GRIDS["Ridge"], train, folds=5, parallelism=4)
+    rep = M.metrics(best.transform(feats.where("split = 'val'")))
+    return rep.select(F.lit(float(best.getRegParam())).alias("reg_param"),
+                      F.lit(bool(best.getFitIntercept())).alias("fit_intercept"), "r2", "rmse")
+
+
+@register("m16_train_final")
+def m16_train_final(spark, sf):
+    """Refit on train+val, report test metrics on both scales."""
+    feats, fm = _prepared(spark, sf)
+    tv = feats.where("split != 'test'")
+    n = tv.count()
+    y_std = tv.agg(F.stddev_samp(FE.TARGET)).first()[0] or 1.0
+    est = dict(M.candidates(n, y_std))["Ridge"]
+    model, _ = M.train_final(est, tv, feats.where("split = 'test'"))
+    mean, std = fm.target_params()
+    return M.regression_report(model.transform(feats.where("split = 'test'")), mean, std)
+
+
+@register("m17_score")
+def m17_score(spark, sf):
+    """Score every cleaned listing as a request (names -> ids, calendar,
+    scale, encode, predict, inverse-scale)."""
+    feats, fm = _prepared(spark, sf)
+    est = dict(M.candidates())["LinearRegression"]
+    model = est.fit(feats.where("split = 'train'"))
+    req = frame(spark, sf)
+    scored = M.score(req, model, fm, keep=["Airline_id"])
+    return scored.groupBy("Airline_id").agg(F.count(F.lit(1)).alias("n"),
+                                            F.round(F.avg("predicted_price"), 0).alias("avg_price"))
+
+
+@register("m18_sentiment")
+def m18_sentiment(spark, sf):
+    """Review sentiment: classifier trained on labelled reviews (star rating
+    as the 5-class label), bucket counts over all reviews."""
+    valid = QR.review_valid(spark, sf)
+    labelled = valid.where(F.col("quality").isNotNull()).withColumn("label", (F.col("Rating") - 1).cast("int"))
+    model = SE.fit_sentiment(labelled)
+    out = SE.enrich_sentiment(valid, model)
+    return SE.bucket_counts(out)
+
+
+@register("l3_price_run")
+def l3_price_run(spark, sf):
+    """L3: cleanup -> features -> CV -> best -> final fit, test report."""
+    from .flows import run_price_flow
+
+    t = normalize(QL.clean(spark, sf))
+    res = run_price_flow(spark, t, QL.NOW, 3, models=M.candidates()[:2])
+    return res["report"].withColumn("best", F.lit(res["best"]))
+
+
+__all__ = ["fold_name"]
