@@ -175,7 +175,11 @@ class FeatureModel:
 
 def fit_features(frame: DataFrame, fit_rows: DataFrame | None = None) -> FeatureModel:
     """Fit M4-M6 on ``fit_rows`` (default: all rows, as the source did;
-    pass the training split to avoid target leakage)."""
+    pass the training split to avoid target leakage).
+
+    Three small aggregates are collected (one row per scaled column, per
+    category, per label); persist or checkpoint the input when it is
+    expensive to recompute."""
     src = calendar_features(fit_rows if fit_rows is not None else frame)
     scaler = _params(fit_scaler(src, NUMERIC + [TARGET]))
     cats = _categories(fit_onehot(src, CATEGORICAL))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_LISTING_COLUMNS
-from ..session import table
+from ..session import spread, table
 
 # ---------------------------------------------------------------------------
 # Fixed values used to render raw text (they mirror the source site's text).
@@ -38,9 +38,9 @@ DUP_MOD = 101        # one order in 101 is scraped twice
 
 
 def _listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_tax", "l_returnflag", "l_linestatus")
+        "l_tax", "l_returnflag", "l_linestatus"), "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -135,7 +135,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review rows from documents (left join labels): Rating, Title,
     Full Review, Information, Service Ratings, Airline (= source) and the
     label columns."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     lb = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lb, "doc_id", "left")
     k = F.col("doc_id")

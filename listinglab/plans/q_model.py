@@ -87,7 +87,8 @@ def _fold_sql(x: str) -> str:
       "/ 86400000000.0)) AS DOUBLE) " + _JOINED
     + ")", tables=True))
 def m10_features(spark, sf):
-    f = frame(spark, sf)
+    # fitting reads the frame three times (scaler, categories, labels)
+    f = frame(spark, sf).persist()
     fm = FE.fit_features(f)
     t = FE.feature_table(f, fm)
     cols = [c for c in fm.columns if c not in FE.NUMERIC]
@@ -107,6 +108,16 @@ def m9_metrics(spark, sf):
     return m.select(F.round("r2", 6).alias("r2"), F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), "n")
 
 
+@register("a20_residual_points", with_listing(
+    "SELECT least(min(e_total), min(e_price)) AS lo, greatest(max(e_total), max(e_price)) AS hi, count(*) AS n "
+    "FROM cl WHERE e_price IS NOT NULL"))
+def a20_residual_points(spark, sf):
+    c = QL.clean(spark, sf).select(F.col("`Total Price`").alias("Total_Price"),
+                                   F.col("`Price per Ticket`").alias("prediction"))
+    pts, rng = M.residual_points(c)
+    return rng.crossJoin(pts.agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("m17b_inverse_scale", with_listing("SELECT CAST(t.e_total AS DOUBLE) AS price " + _JOINED, tables=True))
 def m17b_inverse_scale(spark, sf):
     f = frame(spark, sf)

@@ -96,6 +96,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan only when it yields fewer partitions than the
+    cluster can run at once (e.g. a file that is one parquet row group).
+
+    On a large input this is a no-op (the scan already has thousands of
+    splits); partitioning on the next join key lets that join reuse it.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (parquet)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -146,3 +146,19 @@ def test_best_model(spark):
     res = spark.createDataFrame([("a", 0.9, 2.0), ("b", 0.9, 1.0), ("c", 0.5, 0.1)], "model_name string, mean_r2 double, mean_rmse double")
     assert W.best_model(res).first()["model_name"] == "b"
     assert W.best_model(res, "mean_rmse").first()["model_name"] == "c"
+
+
+def test_commit_version_all_or_nothing(spark, tmp_path):
+    from listinglab.sinks.files import commit_version, current_version
+
+    root = str(tmp_path / "tables")
+    a = spark.range(3).toDF("x")
+    b = spark.range(5).toDF("y")
+    v1 = commit_version(spark, {"a": a, "b": b}, root)
+    assert current_version(spark, root) == v1
+    bad = spark.range(2).select((F.lit(1) / F.lit(0)).cast("int").alias("x"))   # fails under ANSI at write time
+    with pytest.raises(Exception):
+        commit_version(spark, {"a": a, "b": bad.select(F.assert_true(F.lit(False)).alias("y"))}, root)
+    # the pointer still names the complete first version
+    assert current_version(spark, root) == v1
+    assert spark.read.parquet(f"{v1}/b").count() == 5
