@@ -162,3 +162,19 @@ def test_commit_version_all_or_nothing(spark, tmp_path):
     # the pointer still names the complete first version
     assert current_version(spark, root) == v1
     assert spark.read.parquet(f"{v1}/b").count() == 5
+
+
+def test_hot_value_spreads_over_partitions(spark):
+    """One value holds a third of all rows: exact quantiles stay exact and the
+    numbering does not put the hot value into a single task."""
+    n = 30000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise((F.col("id") % 997).cast("double")).alias("v"),
+                               F.col("id"))
+    got = {r["q"]: r["value"] for r in A.exact_quantiles(df, "v", (0.25, 0.5, 0.75)).collect()}
+    exp = df.agg(*[F.percentile("v", q).alias(str(q)) for q in (0.25, 0.5, 0.75)]).first()
+    for q in (0.25, 0.5, 0.75):
+        assert got[q] == pytest.approx(exp[str(q)])
+    vals = df.select("v", F.xxhash64("v", "id").alias("_t"))
+    ranged = vals.repartitionByRange(8, "v", "_t").withColumn("p", F.spark_partition_id())
+    hot = ranged.where("v = 5.0").groupBy("p").count().collect()
+    assert len(hot) >= 2 and max(r["count"] for r in hot) < n // 3
