@@ -24,14 +24,20 @@ def consecutive_index(df: DataFrame, order: Sequence[Column], out: str, start: i
     """
     from ..session import cut_lineage
 
+    from pyspark import StorageLevel
+
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # The range exchange samples its input before shuffling it: keep the
+    # input so the upstream plan runs once.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     # Materialise the numbered rows once (reliable checkpoint in the shared
     # folder): the per-partition counts and the final ids must come from the
     # same range partitioning, which a re-execution need not reproduce.
     local = cut_lineage(local)
+    df.unpersist()
     counts = local.groupBy("_pid").agg(F.max("_local").alias("_cnt"))
     offsets = counts.select(
         "_pid",

@@ -80,9 +80,17 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    The plan is persisted first so that writing the checkpoint reads the
+    cached rows instead of computing the plan a second time."""
+    from pyspark import StorageLevel
+
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
