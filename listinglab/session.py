@@ -111,8 +111,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     On a large input this is a no-op (the scan already has thousands of
     splits); partitioning on the next join key lets that join reuse it.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. Spark Connect): leave the plan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
