@@ -31,6 +31,7 @@ __all__ = [
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 #: Rows that a Python worker holds at a time (an Arrow batch may be larger).
 BATCH_ROWS = 256
+BATCH_BYTES = 8 << 20
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
@@ -63,7 +64,11 @@ def bucket(key: str, n: int) -> Column:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, as ``--py-files`` would, once for each context."""
+    """Send this package's code to the Python workers, as ``--py-files`` would, once for each context.
+
+    Arrow batches are held to ``BATCH_BYTES``, unless the session has a limit of its own: texts can be long."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_llm_shipped", False):
         return
