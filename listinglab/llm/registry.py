@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglab.llm import decontaminate, exact_dedup, line_dedup, secrets, simhash_dedup
+from listinglab.llm import decontaminate, exact_dedup, line_dedup, secrets, sentencepiece_codec, simhash_dedup
 from listinglab.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_paths(table(spark, sf_dir, "documents")))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_secret_scan": op8_secret_scan,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_decontaminate": op10_decontaminate,
 }
 
