@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglab.llm import decontaminate, exact_dedup, line_dedup, secrets, sentencepiece_codec, simhash_dedup
+from listinglab.llm import decontaminate, exact_dedup, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup
 from listinglab.llm.common import table
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), lm_score.fold())
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -38,6 +42,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_score": op2_lm_score,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
