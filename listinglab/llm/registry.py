@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglab.llm import decontaminate, exact_dedup, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup
+from listinglab.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup
 from listinglab.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_chunks(table(spark, sf_dir, "documents"), counts=True)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), language_id.fold())
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_score": op2_lm_score,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
