@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglab.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup
+from listinglab.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup, toxicity
 from listinglab.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), toxicity.fold())
+
+
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), lm_score.fold())
 
@@ -46,6 +50,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_lm_score": op2_lm_score,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
