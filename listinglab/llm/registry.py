@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglab.llm import decontaminate, exact_dedup, language_id, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup, toxicity
+from listinglab.llm import decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup, toxicity
 from listinglab.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), lm_score.fold())
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.document_licences(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -52,6 +56,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_score": op2_lm_score,
+    "op3_license_scan": op3_license_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
