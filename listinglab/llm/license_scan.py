@@ -204,7 +204,8 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     model = model or train(background(docs, id_col, text_col))
     vocabulary = F.array(*[F.lit(w) for w in sorted({w for g in model.grams for w in g.split(" ")} & {g for g in model.grams if " " not in g}
                                                     | {g.split(" ")[0] for g in model.grams if " " in g})])
-    source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line", "text"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.split(text_col, "\n").alias("lines"))
+    source = numbered.select("row", "doc_id", F.posexplode("lines").alias("line", "text"))
     lines = save(source.where(F.arrays_overlap(words_of(F.col("text")), vocabulary)), "licence-lines")
 
     classes = len(model.classes)

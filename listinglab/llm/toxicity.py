@@ -197,7 +197,7 @@ class _Reader:
 
     def _words(self, token: str) -> list[str]:
         if token.startswith("\x00"):
-            return decode(token[1:], self.chars, spaced=True)
+            return [*decode(token[1:], self.chars, spaced=True), *letter_runs(token[1:])]
         if token.isalpha() and not _THRICE.search(token):
             return [token]
         words = letter_runs(token)
@@ -239,10 +239,12 @@ class _Reader:
                 for k in again:
                     words[k] = words[k] + decode(new[k].strip(_AROUND), self.chars)
                 at, feature = self._pairs(words)
+        self.known.update(dict.fromkeys(new))
+        if not len(at):
+            return
         order = np.lexsort((feature, at))
         at, feature = at[order], feature[order]
         tokens, cut = np.unique(at, return_index=True)
-        self.known.update(dict.fromkeys(new))
         for k, part in zip(tokens.tolist(), np.split(feature, cut[1:]), strict=True):
             self.known[new[k]] = tuple(dict.fromkeys(part.tolist()))
 
