@@ -159,7 +159,9 @@ def train(background: list[str], common: float = COMMON) -> Model:
     for b in behind:
         for g in b:
             seen[g] = seen.get(g, 0) + 1
-    grams = sorted({g for r in rows for g in r if seen.get(g, 0) <= common * len(behind)})
+    rare = {g for r in rows for g in r if seen.get(g, 0) <= common * len(behind)}
+    # A pair of common words tells nothing, however rare the pair: each feature holds a word that is a feature.
+    grams = sorted(g for g in rare if " " not in g or rare.intersection(g.split(" ")))
     of = frozenset(grams)
     merged: dict[frozenset[str], float] = {frozenset(): 1.0}
     for b in behind:  # all of it together weighs as much as a family
@@ -202,8 +204,7 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     """Per finding: row, doc_id, line (from 0), text, family, probability, similarity."""
     spark = docs.sparkSession
     model = model or train(background(docs, id_col, text_col))
-    vocabulary = F.array(*[F.lit(w) for w in sorted({w for g in model.grams for w in g.split(" ")} & {g for g in model.grams if " " not in g}
-                                                    | {g.split(" ")[0] for g in model.grams if " " in g})])
+    vocabulary = F.array(*[F.lit(g) for g in model.grams if " " not in g])
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.split(text_col, "\n").alias("lines"))
     source = numbered.select("row", "doc_id", F.posexplode("lines").alias("line", "text"))
     lines = save(source.where(F.arrays_overlap(words_of(F.col("text")), vocabulary)), "licence-lines")
