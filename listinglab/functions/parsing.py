@@ -69,21 +69,46 @@ def currency(col) -> Column:
     return digits.try_cast("bigint")
 
 
+def spaced(c: Column) -> Column:
+    """One blank between words, no commas."""
+    return F.trim(F.regexp_replace(c, r"[\s,]+", " "))
+
+
+def date_and_clock(v: Column) -> tuple[Column, Column]:
+    """The date and the clock text of ``clock date`` or ``date clock``."""
+    first, last = F.substring_index(v, " ", 1), F.substring_index(v, " ", -1)
+    leads = F.instr(first, "/") > 0
+    rest = F.when(leads, F.substr(v, F.length(first) + 2)).otherwise(F.left(v, F.length(v) - F.length(last) - 1))
+    return F.try_to_date(F.when(leads, first).otherwise(last), "d/M/yyyy").cast("timestamp_ntz"), rest
+
+
+def clock_parts(t: Column) -> tuple[Column, Column, Column, Column]:
+    """(hour, minute, second, half) of ``H:mm``, ``H:mm:ss``, either with AM
+    or PM; NULL parts where the text has another form."""
+    clock, half = F.substring_index(t, " ", 1), F.upper(F.substr(t, F.length(F.substring_index(t, " ", 1)) + 2))
+    colons = F.length(clock) - F.length(F.replace(clock, F.lit(":"), F.lit("")))
+    second = F.when(colons == 2, F.substring_index(clock, ":", -1).try_cast("int")).when(colons == 1, F.lit(0))
+    return (F.substring_index(clock, ":", 1).try_cast("int"),
+            F.substring_index(F.substring_index(clock, ":", 2), ":", -1).try_cast("int"), second, half)
+
+
+def day_and_time(day: Column, hour: Column, minute: Column, second: Column, half: Column) -> Column:
+    """The timestamp, NULL where a part is missing or out of range. The time is
+    added to the date, so the session time zone plays no part."""
+    twelve = half.isin("AM", "PM")
+    ok = minute.between(0, 59) & second.between(0, 59) & ((half == "") & hour.between(0, 23) | twelve & hour.between(1, 12))
+    of_day = F.when(twelve, hour % 12 + F.when(half == "PM", 12).otherwise(0)).otherwise(hour)
+    return F.when(ok, F.timestamp_add("SECOND", of_day * 3600 + minute * 60 + second, day))
+
+
 def dayfirst_timestamp(col) -> Column:
-    """Day-first ``HH:mm dd/MM/yyyy`` -> timestamp_ntz; invalid -> NULL.
+    """A day-first date and a time of day -> timestamp_ntz; invalid -> NULL.
 
-    The date part goes through ``try_to_date`` and the time is added as
-    minutes, so the result never depends on the session time zone. An
-    optional comma after the time is accepted.
-    """
-    c = F.trim(_c(col))
-    time_s = F.replace(F.substring_index(c, " ", 1), F.lit(","), F.lit(""))
-    date_s = F.substring_index(c, " ", -1)
-    day = F.try_to_date(date_s, "d/M/yyyy")
-    hour = F.substring_index(time_s, ":", 1).try_cast("int")
-    minute = F.substring_index(time_s, ":", -1).try_cast("int")
-    ok = (F.instr(time_s, ":") > 0) & hour.between(0, 23) & minute.between(0, 59)
-    return F.when(ok, F.timestamp_add("MINUTE", hour * 60 + minute, day.cast("timestamp_ntz")))
+    Date and time come in either order, the time with or without seconds and
+    AM or PM, with or without a comma between: ``07:05 01/02/2025``,
+    ``07:05:59, 01/02/2025``, ``01/02/2025 08:30 PM``."""
+    day, clock = date_and_clock(spaced(_c(col)))
+    return day_and_time(day, *clock_parts(clock))
 
 
 def iso_timestamp(col) -> Column:
@@ -124,22 +149,37 @@ def checked_kg(col) -> Column:
 # One quoted item of a Python list literal ('...' or "...", backslash escapes).
 _ITEM = r"""(?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
 _LIST = rf"^\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?\s*)?\]\s*$"
-_EMPTY = r"^\s*\[\s*\]\s*$"
+
+
+_NAMED = {"n": "\n", "t": "\t", "r": "\r", "a": "\a", "b": "\b", "f": "\f", "v": "\v", "0": "\0"}
+
+
+def _unescaped(x: Column) -> Column:
+    """Backslash escapes of a Python string. The marks U+0001..3 stand for a
+    backslash, and around the hexadecimal digits of a character."""
+    x = F.replace(x, F.lit("\\\\"), F.lit("\u0001"))
+    for name, char in _NAMED.items():
+        x = F.replace(x, F.lit(f"\\{name}"), F.lit(char))
+    x = F.regexp_replace(x, r"\\(?:x([0-9A-Fa-f]{2})|u([0-9A-Fa-f]{4}))", "\u0002$1$2\u0003")
+    pieces = F.transform(F.split(x, "\u0002"), lambda p: F.when(
+        F.instr(p, "\u0003") > 0, F.concat(
+            F.decode(F.unhex(F.lpad(F.substring_index(p, "\u0003", 1), 4, "0")), "UTF-16BE"), F.substring_index(p, "\u0003", -1))).otherwise(p))
+    x = F.array_join(pieces, "")
+    return F.replace(F.regexp_replace(x, r"\\(['\"])", "$1"), F.lit("\u0001"), F.lit("\\"))
 
 
 def policy_list(col) -> Column:
     """P10: Python-literal list of strings -> array<string>; NULL or a text
     that is not such a literal -> [].
 
-    Validated by one regex and split on the quote-comma-quote boundaries
-    (all code-generated expressions; ``from_json`` would drop the whole
-    projection to interpreted mode)."""
+    The items are what the item pattern finds, each without its own quotes and
+    with its escapes read; a quote of the other kind, a comma or a bracket
+    inside an item is text."""
     c = _c(col)
-    inner = F.regexp_replace(c, r"""^\s*\[\s*['"]|['"]\s*,?\s*\]\s*$""", "")
-    items = F.split(inner, r"""['"]\s*,\s*['"]""")
-    unescaped = F.split(F.regexp_replace(F.array_join(items, "\u0001"), r"\\(.)", "$1"), "\u0001")
+    items = F.transform(F.regexp_extract_all(c, F.lit(f"({_ITEM})"), F.lit(1)), lambda x: F.substr(x, F.lit(2), F.length(x) - 2))
+    plain = F.instr(c, "\\") == 0
     empty = F.array().cast("array<string>")
-    return F.when(c.isNull() | ~c.rlike(_LIST) | c.rlike(_EMPTY), empty).otherwise(unescaped)
+    return F.when(c.isNull() | ~c.rlike(_LIST), empty).when(plain, items).otherwise(F.transform(items, _unescaped))
 
 
 def policy_labels(col) -> Column:

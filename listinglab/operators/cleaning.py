@@ -7,8 +7,6 @@ they fuse into the scan's whole-stage-codegen stage: no shuffle, no Python.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,28 +42,18 @@ def clean_currency(df: DataFrame, cols: Iterable[str] = PRICE_COLUMNS) -> DataFr
 
 
 def with_dayfirst(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """P3 as staged projections: time text and date first, then hour/minute,
-    then the timestamp. Each stage's parts are referenced several times, so
-    Catalyst keeps the stages apart and every part is computed once per row
-    (the one-expression form, :func:`listinglab.functions.parsing.dayfirst_timestamp`,
+    """P3 as staged projections (date and clock text, then hour, minute and
+    second, then the timestamp). Each stage's parts are referenced several
+    times, so Catalyst keeps the stages apart and every part is computed once
+    per row (the one-expression form, :func:`listinglab.functions.parsing.dayfirst_timestamp`,
     repeats them)."""
     cols = list(cols)
-    tmp = {}
-    for i, c in enumerate(cols):
-        v = F.trim(F.col(f"`{c}`"))
-        tmp[f"_t{i}"] = F.replace(F.substring_index(v, " ", 1), F.lit(","), F.lit(""))
-        tmp[f"_d{i}"] = F.try_to_date(F.substring_index(v, " ", -1), "d/M/yyyy").cast("timestamp_ntz")
-    df = df.withColumns(tmp)
-    df = df.withColumns({k: v for i in range(len(cols)) for k, v in (
-        (f"_h{i}", F.when(F.instr(f"_t{i}", ":") > 0, F.substring_index(f"_t{i}", ":", 1).try_cast("int"))),
-        (f"_m{i}", F.when(F.instr(f"_t{i}", ":") > 0, F.substring_index(f"_t{i}", ":", -1).try_cast("int"))))})
-    out = {}
-    for i, c in enumerate(cols):
-        h, m = F.col(f"_h{i}"), F.col(f"_m{i}")
-        ok = h.between(0, 23) & m.between(0, 59)
-        out[c] = F.when(ok, F.timestamp_add("MINUTE", h * 60 + m, F.col(f"_d{i}")))
-    drop = [f"_{p}{i}" for i in range(len(cols)) for p in "tdhm"]
-    return df.withColumns(out).drop(*drop)
+    each = list(enumerate(cols))
+    df = df.withColumns({f"_v{i}": P.spaced(F.col(f"`{c}`")) for i, c in each})
+    df = df.withColumns({k: v for i, _ in each for k, v in zip((f"_d{i}", f"_t{i}"), P.date_and_clock(F.col(f"_v{i}")), strict=True)})
+    df = df.withColumns({k: v for i, _ in each for k, v in zip((f"_h{i}", f"_m{i}", f"_s{i}", f"_a{i}"), P.clock_parts(F.col(f"_t{i}")), strict=True)})
+    df = df.withColumns({c: P.day_and_time(*[F.col(f"_{p}{i}") for p in "dhmsa"]) for i, c in each})
+    return df.drop(*[f"_{p}{i}" for i, _ in each for p in "vdthmsa"])
 
 
 def parse_times(df: DataFrame) -> DataFrame:
@@ -197,17 +185,12 @@ def reject_reasons(rules: Mapping[str, Column]) -> Column:
 def partition_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Split into (valid, rejects) with a ``reject_reasons`` column.
 
-    Both outputs come from one plan; persist ``df`` if both are consumed.
-    """
+    Plain filters: each output evaluates the columns that its rules and its
+    readers need and no others. Where both outputs are wanted, write
+    :func:`tag_listings` once and read its two parts."""
     tagged = df.withColumn(REJECT_REASONS, reject_reasons(rules))
-    # Row-preserving generator (one-element array): Catalyst cannot push a
-    # predicate on generated columns below it, so the parse expressions are
-    # evaluated once in the projection instead of again inside the filter.
-    cols = tagged.columns
-    fenced = tagged.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in cols]))))
-    valid = fenced.where(F.col(REJECT_REASONS) == "").drop(REJECT_REASONS)
-    rejects = fenced.where(F.col(REJECT_REASONS) != "")
-    return valid, rejects
+    valid = tagged.where(F.col(REJECT_REASONS) == "").drop(REJECT_REASONS)
+    return valid, tagged.where(F.col(REJECT_REASONS) != "")
 
 
 def listing_rules(raw_prefix: str = "_raw_") -> dict[str, Column]:
@@ -244,23 +227,39 @@ def clean_chain(df: DataFrame) -> DataFrame:
     return df.withColumn("Number of Tickets", F.col("`Number of Tickets`").try_cast("int"))
 
 
+def _parsed(raw: DataFrame) -> DataFrame:
+    return clean_chain(raw.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in raw.columns}))
+
+
+def _clean_columns(raw_columns: Iterable[str]) -> list[str]:
+    return CLEAN_ORDER + [c for c in raw_columns if c not in CLEAN_ORDER and c != "Ticket Price"]
+
+
 def clean_listings_split(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """L1 with reject routing: (clean rows, rejected raw rows + reasons)."""
-    raw_cols = list(raw.columns)
-    keep = raw.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in raw_cols})
-    cleaned = clean_chain(keep)
-    valid, rejects = partition_rejects(cleaned, listing_rules())
-    extra = [c for c in raw_cols if c not in CLEAN_ORDER and c != "Ticket Price"]
-    valid = valid.select(*[F.col(f"`{c}`") for c in CLEAN_ORDER + extra])
-    rejects = rejects.select(*[F.col(f"`_raw_{c}`").alias(c) for c in raw_cols], F.col(REJECT_REASONS))
-    return valid, rejects
+    valid, rejects = partition_rejects(_parsed(raw), listing_rules())
+    return (project(valid, _clean_columns(raw.columns)),
+            rejects.select(*[F.col(f"`_raw_{c}`").alias(c) for c in raw.columns], F.col(REJECT_REASONS)))
+
+
+def tag_listings(raw: DataFrame) -> DataFrame:
+    """L1 for one write: the clean columns, the raw ones of rejects, the
+    reasons and ``is_reject`` (0 or 1) to partition by."""
+    reasons = F.col(REJECT_REASONS)
+    tagged = _parsed(raw).withColumn(REJECT_REASONS, reject_reasons(listing_rules()))
+    return tagged.select(*[F.col(f"`{c}`") for c in _clean_columns(raw.columns)],
+                         *[F.when(reasons != "", F.col(f"`_raw_{c}`")).alias(f"_raw_{c}") for c in raw.columns],
+                         reasons, (reasons != "").cast("int").alias("is_reject"))
+
+
+def tagged_parts(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, rejected raw rows + reasons) of a written :func:`tag_listings`."""
+    raw = [c for c in tagged.columns if c.startswith("_raw_")]
+    clean = [c for c in tagged.columns if c not in raw and c not in (REJECT_REASONS, "is_reject")]
+    return (project(tagged.where("is_reject = 0"), clean),
+            tagged.where("is_reject = 1").select(*[F.col(f"`{c}`").alias(c.removeprefix("_raw_")) for c in raw], REJECT_REASONS))
 
 
 def clean_listings(raw: DataFrame) -> DataFrame:
     """L1: the clean chain; rows the source could not parse go to rejects."""
     return clean_listings_split(raw)[0]
-
-
-def union_routes(*frames: DataFrame) -> DataFrame:
-    """UNION ALL by column name (missing columns filled with NULL)."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -22,22 +22,25 @@ def consecutive_index(df: DataFrame, order: Sequence[Column], out: str, start: i
     The numbered rows are checkpointed once, so counts and ids always agree;
     ties on the ordering get an arbitrary order within a partition.
     """
-    from ..session import cut_lineage
-
     from pyspark import StorageLevel
 
+    from ..session import cut_lineage
+
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     # The range exchange samples its input before shuffling it: keep the
-    # input so the upstream plan runs once.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    # Materialise the numbered rows once (reliable checkpoint in the shared
-    # folder): the per-partition counts and the final ids must come from the
-    # same range partitioning, which a re-execution need not reproduce.
-    local = cut_lineage(local)
-    df.unpersist()
+    # input, unless the caller does, so the upstream plan runs once.
+    mine = not (df.storageLevel.useMemory or df.storageLevel.useDisk)
+    if mine:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # The id holds the partition's number (upper 31 bits) and the row's place in it. The numbered rows
+    # are materialised once (reliable checkpoint in the shared folder): counts and ids must come from
+    # the same range partitioning, which a re-execution need not reproduce.
+    local = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                        .withColumn("_id", F.monotonically_increasing_id()))
+    if mine:
+        df.unpersist()
+    local = local.withColumns({"_pid": F.shiftright("_id", 33), "_local": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1})
     counts = local.groupBy("_pid").agg(F.max("_local").alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -46,4 +49,4 @@ def consecutive_index(df: DataFrame, order: Sequence[Column], out: str, start: i
     )
     return (local.join(F.broadcast(offsets), "_pid")
             .withColumn(out, (F.col("_off") + F.col("_local") + F.lit(start - 1)).cast("bigint"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_pid", "_local", "_off", "_id"))

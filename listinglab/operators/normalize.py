@@ -2,26 +2,22 @@
 
 Surrogate keys never come from a global sort of the fact: the distinct keys
 are aggregated first (a partial+final hash aggregate, map-side combined) and
-numbered on that small table; the ids reach the fact through a join whose
-broadcast is size-checked.
+numbered on that small table; the ids reach the fact through a join that
+Spark plans from measured sizes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import dim_id
 from ..functions.text import bubbles
 from ..schemas import SCHEDULE_COLUMNS, TICKET_COLUMNS
-from ..session import broadcast_if_small
 from .keys import consecutive_index
 
-DIM_BROADCAST_ROWS = 2_000_000
-
-
 def _q(c: str):
     return F.col(f"`{c}`")
 
@@ -59,15 +55,12 @@ def make_airlines(df: DataFrame, registry: DataFrame | None = None,
     return new
 
 
-def key_lookup(fact: DataFrame, dim: DataFrame, on: str, out: str | None = None,
-               max_dim_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+def key_lookup(fact: DataFrame, dim: DataFrame, on: str, out: str | None = None) -> DataFrame:
     """Left join a dimension on a name, NULL matching NULL (``eqNullSafe``).
 
-    The dimension is broadcast only after its row count is proven small;
-    otherwise both sides shuffle on the key.
-    """
+    Spark broadcasts the dimension where its measured bytes are below the
+    threshold; otherwise both sides shuffle on the key."""
     d = dim.withColumnRenamed(on, "_k")
-    d = broadcast_if_small(d, max_dim_rows)
     j = fact.join(d, fact[f"`{on}`"].eqNullSafe(d["_k"]), "left").drop("_k")
     return j.drop(on) if out is None else j
 
@@ -97,23 +90,15 @@ def make_tickets(df: DataFrame, airlines: DataFrame) -> DataFrame:
     return key_lookup(rest, airlines, "Airline").select(*[_q(c) for c in TICKET_COLUMNS]).distinct()
 
 
-def materialize_dim(dim: DataFrame) -> DataFrame:
-    """Cache a small dimension once so every lookup reuses it (cache is
-    rebuilt from lineage if an executor is lost)."""
-    dim = dim.cache()
-    dim.count()
-    return dim
-
-
 def normalize(df: DataFrame, registry: DataFrame | None = None) -> dict[str, DataFrame]:
     """All five tables from one cleaned input.
 
-    The airline dimension (one row per airline) is built once and cached;
-    the input feeds five plans, so persist it (or read it from a written
-    table, as :func:`listinglab.plans.flows.run_listing_etl` does) when
-    materialising all five.
+    The airline dimension is numbered once, on a checkpointed table; the
+    input feeds five plans, so read it from a written table (as
+    :func:`listinglab.plans.flows.run_listing_etl` does) when materialising
+    all five. Nothing stays cached.
     """
-    airlines = materialize_dim(make_airlines(df, registry))
+    airlines = make_airlines(df, registry)
     return {
         "airport": make_airports(df),
         "airline": airlines,
@@ -153,8 +138,7 @@ def make_service_ratings(df: DataFrame, owner: str = "airline_id", col: str = "S
                     bubbles(F.col("_s.`Service Rating`")).alias("rating"))
 
 
-def group_number(df: DataFrame, key: str, out: str = "airline_id",
-                 max_keys: int = DIM_BROADCAST_ROWS) -> DataFrame:
+def group_number(df: DataFrame, key: str, out: str = "airline_id") -> DataFrame:
     """Dense 0-based number of ``key`` in sorted order.
 
     Ranks the distinct keys (a small aggregate), then joins the numbers
@@ -162,16 +146,9 @@ def group_number(df: DataFrame, key: str, out: str = "airline_id",
     """
     keys = df.select(_q(key).alias("_k")).distinct()
     ranked = consecutive_index(keys, [F.col("_k").asc_nulls_first()], out, start=0)
-    ranked = broadcast_if_small(ranked, max_keys)
     return df.join(ranked, df[f"`{key}`"].eqNullSafe(ranked["_k"]), "left").drop("_k")
 
 
-def owner_index(df: DataFrame, order_col: str, out: str = "airline_id") -> DataFrame:
-    """Row position (0, 1, 2, ...) in ``order_col`` order, for small
-    per-source tables (one row per airline)."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(_q(order_col))) - 1)
-
-
 def check_key(df: DataFrame, key: Iterable[str], cols: Iterable[str]) -> DataFrame:
     """Functional-dependency check. One row per (column, violating key
     count): a key violates when it maps to more than one distinct value."""
@@ -189,10 +166,8 @@ def explode_counts(df: DataFrame, col: str, out: str = "value") -> DataFrame:
     return df.select(F.explode_outer(_q(col)).alias(out)).groupBy(out).count()
 
 
-def first_match(df: DataFrame, dim: DataFrame, on: str, ret: str, out: str | None = None,
-                max_dim_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+def first_match(df: DataFrame, dim: DataFrame, on: str, ret: str, out: str | None = None, dim_on: str | None = None) -> DataFrame:
     """Name -> id lookup; missing -> NULL; first row per name wins
     (the dimension is de-duplicated on the name first: min id)."""
-    d = dim.groupBy(_q(on).alias("_k")).agg(F.min(_q(ret)).alias(out or ret))
-    d = broadcast_if_small(d, max_dim_rows)
+    d = dim.groupBy(_q(dim_on or on).alias("_k")).agg(F.min(_q(ret)).alias(out or ret))
     return df.join(d, df[f"`{on}`"] == d["_k"], "left").drop("_k")

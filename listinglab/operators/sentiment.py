@@ -27,8 +27,9 @@ def with_text(df: DataFrame, title: str = "Title", body: str = "Full Review") ->
     return df.withColumn(TEXT, F.coalesce(review_text(F.col(f"`{title}`"), F.col(f"`{body}`")), F.lit("")))
 
 
-def fit_sentiment(labelled: DataFrame, label_col: str = "label", num_features: int = 1 << 18):
-    """Fit the five-class pipeline on rows with a 0..4 label."""
+def fit_sentiment(labelled: DataFrame, label_col: str = "label", num_features: int = 1 << 18, weight_col: str | None = None):
+    """Fit the pipeline on rows with a class number as label (0..4 for stars);
+    ``weight_col`` evens out classes of very different sizes."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -38,7 +39,7 @@ def fit_sentiment(labelled: DataFrame, label_col: str = "label", num_features: i
     idf = IDF(inputCol="_tf", outputCol="_features", minDocFreq=1)
     lr = LogisticRegression(featuresCol="_features", labelCol=label_col, family="multinomial",
                             maxIter=30, regParam=0.01, predictionCol="_class", probabilityCol="_prob",
-                            rawPredictionCol="_raw")
+                            rawPredictionCol="_raw", **({"weightCol": weight_col} if weight_col else {}))
     data = with_text(labelled).withColumn(label_col, F.col(label_col).cast("double"))
     return Pipeline(stages=[tok, tf, idf, lr]).fit(data)
 
@@ -63,8 +64,3 @@ def sentiment_udf(predict: Callable[[pd.Series], pd.Series]):
 def enrich_with_udf(df: DataFrame, predict: Callable[[pd.Series], pd.Series], out: str = "Sentiment") -> DataFrame:
     u = sentiment_udf(predict)
     return with_text(df).withColumn(out, sentiment_bucket(u(F.col(TEXT)))).drop(TEXT)
-
-
-def bucket_counts(df: DataFrame, col: str = "Sentiment") -> DataFrame:
-    """Rows per sentiment bucket."""
-    return df.groupBy(col).count()

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_LISTING_COLUMNS
-from ..session import spread, table
+from ..session import table
 
 # ---------------------------------------------------------------------------
 # Fixed values used to render raw text (they mirror the source site's text).
@@ -37,8 +37,15 @@ BAD_MOD = 997        # one order in 997 carries one broken field per line
 DUP_MOD = 101        # one order in 101 is scraped twice
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out a scan of few splits (the driver's files are one row group each)
+    over the local cores. For these fixtures only: operators take input as it comes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def _listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = _spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_tax", "l_returnflag", "l_linestatus"), "l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -121,7 +128,8 @@ def raw_listings(spark: SparkSession, sf_dir: str, with_layout: bool = False) ->
     """Raw listing rows (all strings, as scraped), one per lineitem plus
     re-scraped duplicates of one order in 101."""
     b = _listing_base(spark, sf_dir)
-    rows = listing_columns(b.unionByName(b.where((F.col("l_orderkey") % DUP_MOD) == 0)))
+    copies = F.when((F.col("l_orderkey") % DUP_MOD) == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = listing_columns(b.withColumn("_copy", F.explode(copies)))
     return rows if with_layout else rows.select(*[F.col(f"`{c}`") for c in RAW_LISTING_COLUMNS])
 
 
@@ -135,7 +143,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review rows from documents (left join labels): Rating, Title,
     Full Review, Information, Service Ratings, Airline (= source) and the
     label columns."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    d = _spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     lb = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lb, "doc_id", "left")
     k = F.col("doc_id")

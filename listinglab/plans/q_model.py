@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import fold_name
 from ..operators import features as FE
 from ..operators import modeling as M
 from ..operators import sentiment as SE
+from ..operators.cleaning import normalize_names
+from ..operators.joins import ticket_policy, ticket_schedule
 from ..operators.normalize import normalize
+from ..schemas import POLICY_KEY, SCHEDULE_KEY
 from . import q_listing as QL
-from . import q_reviews as QR
 from .oracle import with_listing
 from .registry import register
-from ..session import cut_lineage
+from ..session import cut_lineage, table
 
 
 def _q(c: str):
@@ -22,7 +23,7 @@ def _q(c: str):
 
 
 def frame(spark: SparkSession, sf: str) -> DataFrame:
-    return FE.training_frame(normalize(QL.clean(spark, sf)))
+    return FE.training_frame(normalize(QL.written(spark, sf)))
 
 
 _JOINED = ("FROM ticket t JOIN schedule s ON t.e_dep_time = s.e_dep_time AND t.e_flight = s.e_flight "
@@ -57,11 +58,29 @@ _CATS = {"Fare_Class": "t.e_fare", "Airline_id": "t.airline_id", "Arrival_Locati
          "Aircraft_Type": "s.e_aircraft"}
 
 
-@register("m5_onehot", with_listing("SELECT DISTINCT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{k}' AS column_name, coalesce(CAST({v} AS VARCHAR), 'None') AS category {_JOINED}"
-    for k, v in _CATS.items()) + ")", tables=True))
+_WIDE = {**_CATS, "Flight_Code": "t.e_flight"}
+
+
+@register("m5_onehot", with_listing(" UNION ALL ".join(
+    f"SELECT '{k}' AS column_name, coalesce(CAST({v} AS VARCHAR), 'None') AS category, count(*) AS n {_JOINED} GROUP BY ALL"
+    for k, v in _WIDE.items()), tables=True))
 def m5_onehot(spark, sf):
-    return FE.fit_onehot(frame(spark, sf), FE.CATEGORICAL)
+    """Sums of the indicator vectors, also of a column with hundreds of categories."""
+    from pyspark.ml.functions import vector_to_array
+
+    t = normalize(QL.written(spark, sf))
+    f = ticket_policy(ticket_schedule(t["ticket"], t["flight_schedule"], SCHEDULE_KEY), t["refund_policy"], POLICY_KEY)
+    f = cut_lineage(normalize_names(f).select(*_WIDE))
+    out = None
+    cats = FE._categories(FE.fit_onehot(f, list(_WIDE)))
+    for c, values in cats.items():
+        v = FE.onehot_vector(f, c, values, "_vec")
+        slots = v.select(F.posexplode(vector_to_array("_vec")).alias("slot", "x")).where("x <> 0").groupBy("slot").agg(
+            F.sum("x").cast("bigint").alias("n"))
+        named = spark.createDataFrame([(c, x, k) for k, x in enumerate(values)], "column_name string, category string, slot int")
+        part = named.join(slots, "slot").select("column_name", "category", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("m6_multilabel", with_listing(
@@ -74,27 +93,38 @@ def _fold_sql(x: str) -> str:
     return (f"replace(replace(trim(replace(replace(strip_accents({x}), 'đ', 'd'), 'Đ', 'D'), '- '), ' ', '_'), ',', '')")
 
 
+def _feature_sql(name: str, value: str) -> str:
+    return f"SELECT {name} AS feature, CAST(sum(v) AS DOUBLE) AS total, CAST(sum(v * v) AS DOUBLE) AS squares FROM (SELECT {value} AS v {_JOINED})"
+
+
+def _scaled_sql(name: str, value: str) -> str:
+    """The scaled column's sum is zero, its squares' the number of values (none where they do not vary)."""
+    return (f"SELECT '{name}' AS feature, 0.0 AS total, CASE WHEN stddev_pop({value}) = 0 THEN 0.0 ELSE CAST(count({value}) AS DOUBLE) END AS squares {_JOINED}")
+
+
 @register("m10_features", with_listing(
-    "SELECT feature, round(value, 4) AS value FROM ("
+    "SELECT feature, round(total, 3) AS total, round(squares, 3) AS squares FROM ("
     + " UNION ALL ".join(
-        f"SELECT '{k}_' || coalesce(CAST({v} AS VARCHAR), 'None') AS feature, CAST(count(*) AS DOUBLE) AS value "
-        f"{_JOINED} GROUP BY ALL" for k, v in _CATS.items())
-    + " UNION ALL SELECT " + _fold_sql("replace(l, '- ', '')") + " AS feature, CAST(count(*) AS DOUBLE) AS value FROM "
-      "(SELECT unnest(list_distinct(p.policy)) AS l " + _JOINED + ") GROUP BY ALL"
-    + " UNION ALL SELECT 'Departure_Hour', CAST(sum(hour(t.e_dep_time)) AS DOUBLE) " + _JOINED
-    + " UNION ALL SELECT 'Departure_DayOfWeek', CAST(sum(isodow(t.e_dep_time) - 1) AS DOUBLE) " + _JOINED
-    + " UNION ALL SELECT 'Days_Before_Departure', CAST(sum(floor(date_diff('microsecond', t.e_scrape, t.e_dep_time) "
-      "/ 86400000000.0)) AS DOUBLE) " + _JOINED
+        f"SELECT '{k}_' || coalesce(CAST({v} AS VARCHAR), 'None') AS feature, CAST(count(*) AS DOUBLE) AS total, "
+        f"CAST(count(*) AS DOUBLE) AS squares {_JOINED} GROUP BY ALL" for k, v in _CATS.items())
+    + " UNION ALL SELECT " + _fold_sql("replace(l, '- ', '')") + " AS feature, CAST(count(*) AS DOUBLE), CAST(count(*) AS DOUBLE) FROM "
+      "(SELECT unnest(list_distinct(p.policy)) AS l " + _JOINED + ") GROUP BY ALL UNION ALL "
+    + " UNION ALL ".join([
+        _feature_sql("'Departure_Hour'", "hour(t.e_dep_time)"), _feature_sql("'Departure_DayOfWeek'", "isodow(t.e_dep_time) - 1"),
+        _feature_sql("'Days_Before_Departure'", "floor(date_diff('microsecond', t.e_scrape, t.e_dep_time) / 86400000000.0)"),
+        *[_scaled_sql(k, f"CAST({v} AS DOUBLE)") for k, v in _NUMS.items()]])
     + ")", tables=True))
 def m10_features(spark, sf):
-    # fitting reads the frame three times (scaler, categories, labels)
-    f = frame(spark, sf).persist()
+    """Every column of the feature table: its sum and sum of squares."""
+    f = cut_lineage(frame(spark, sf))   # the fit reads the frame twice
     fm = FE.fit_features(f)
     t = FE.feature_table(f, fm)
-    cols = [c for c in fm.columns if c not in FE.NUMERIC]
-    long = t.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]) \
-        .unpivot([], cols, "feature", "v")
-    return long.groupBy("feature").agg(F.round(F.sum("v"), 4).alias("value"))
+    cols = t.columns
+    sums = t.agg(*[F.sum(_q(c).cast("double")).alias(f"s{k}") for k, c in enumerate(cols)],
+                 *[F.sum(_q(c).cast("double") * _q(c)).alias(f"q{k}") for k, c in enumerate(cols)])
+    long = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"s{k}").alias("total"), F.col(f"q{k}").alias("squares"))
+                               for k, c in enumerate(cols)]))
+    return sums.select(long.alias("x")).select("x.feature", (F.round("x.total", 3) + 0.0).alias("total"), F.round("x.squares", 3).alias("squares"))
 
 
 @register("m9_metrics", with_listing(
@@ -127,129 +157,189 @@ def m17b_inverse_scale(spark, sf):
     return s.select(F.round(FE.inverse_scale(F.col("Total_Price"), mean, std), 4).alias("price"))
 
 
-# ------------------------------------------------------------- model (rows)
+# ------------------------------------------------------------------- models
+# Linear models of one feature have a closed form that SQL can state; the folds are a column's remainder. For
+# trees and texts the check is their number of rows and that they beat the mean or the larger class.
+
+_XY = "xy AS (SELECT s.e_duration AS x, CAST(t.e_total AS DOUBLE) AS y, CAST(t.e_total % 5 AS INTEGER) AS fold " + _JOINED + ")"
+
 
-def _prepared(spark, sf):
-    # The training frame feeds several fits and parameter tables: cut its
-    # lineage once (reliable checkpoint in the shared folder).
-    f = cut_lineage(frame(spark, sf))
-    keyed = f.withColumn("_key", F.xxhash64(*[F.col(f"`{c}`") for c in f.columns if c != "Refund_Policy"],
-                                            F.array_join("Refund_Policy", "|")))
-    split = M.split3(keyed, ["_key"])
-    fm = FE.fit_features(split, split.where("split != 'test'"))
-    feats = FE.assemble(FE.feature_table(split, fm, keep=["_key", "split"]), fm)
-    return feats, fm
+def _xy(spark, sf) -> DataFrame:
+    """Duration against price, as a one-slot vector and label, with a fold from the price's last digit."""
+    from pyspark.ml.feature import VectorAssembler
 
+    f = frame(spark, sf).select(_q("Flight_Duration").alias("x"), F.col(FE.TARGET).cast("double").alias(FE.TARGET),
+                                (F.col(FE.TARGET) % 5).cast("int").alias("fold"))
+    return cut_lineage(VectorAssembler(inputCols=["x"], outputCol="features").transform(f))
 
-@register("m7_split")
+
+def _with_xy(select: str) -> str:
+    return with_listing("", tables=True).rstrip() + ",\n" + _XY + "\n" + select
+
+
+@register("m7_split", with_listing(
+    "SELECT count(*) AS n, 3 AS splits, 0 AS keys_in_two, true AS shares_hold " + _JOINED, tables=True))
 def m7_split(spark, sf):
-    """Rows per split (72/8/20 by hash of the row key)."""
+    """The three parts hold all rows, no key twice, and 72, 8 and 20 % within two points."""
     f = frame(spark, sf)
-    keyed = f.withColumn("_key", F.xxhash64(*[F.col(f"`{c}`") for c in f.columns if c != "Refund_Policy"]))
-    return M.split3(keyed, ["_key"]).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    keyed = f.withColumn("_key", F.xxhash64(*[_q(c) for c in f.columns if c != "Refund_Policy"]))
+    split = M.split3(keyed, ["_key"]).select("_key", "split")
+    parts = split.groupBy("_key").agg(F.count_distinct("split").alias("parts"), F.count(F.lit(1)).alias("n"), F.first("split").alias("split"))
+    share = {k: F.sum(F.when(F.col("split") == k, F.col("n")).otherwise(0)) / F.sum("n") for k in ("train", "val", "test")}
+    close = [F.abs(share[k] - v) < 0.02 for k, v in (("train", 0.72), ("val", 0.08), ("test", 0.2))]
+    return parts.agg(F.sum("n").alias("n"), F.count_distinct("split").cast("int").alias("splits"),
+                     F.sum(F.when(F.col("parts") > 1, 1).otherwise(0)).cast("int").alias("keys_in_two"), (close[0] & close[1] & close[2]).alias("shares_hold"))
 
 
-def _fit_one(spark, sf, name):
-    feats, _ = _prepared(spark, sf)
-    train = feats.where("split != 'test'").cache()
-    n = train.count()
-    y_std = train.agg(F.stddev_samp(FE.TARGET)).first()[0] or 1.0
-    est = dict(M.candidates(n, y_std))[name]
-    model = est.fit(train)
-    rep = M.metrics(model.transform(feats.where("split = 'test'")))
-    return rep.select(F.lit(name).alias("model_name"), "r2", "rmse", "mae", "n")
+def _line(model, data: DataFrame) -> DataFrame:
+    m = M.metrics(model.transform(data))
+    return m.select(F.lit(round(float(model.coefficients[0]), 2)).alias("slope"), F.lit(round(float(model.intercept), 1)).alias("intercept"),
+                    F.round("r2", 6).alias("r2"), "n")
 
 
-@register("m11_linear")
+@register("m11_linear", _with_xy(
+    "SELECT round(regr_slope(y, x), 2) AS slope, round(regr_intercept(y, x), 1) AS intercept, round(regr_r2(y, x), 6) AS r2, count(*) AS n FROM xy"))
 def m11_linear(spark, sf):
-    return _fit_one(spark, sf, "LinearRegression")
+    d = _xy(spark, sf)
+    return _line(dict(M.candidates())["LinearRegression"](*M._fit_sizes(d)).fit(d), d)
 
 
-@register("m12_ridge")
+@register("m12_ridge", _with_xy(
+    "SELECT alpha, round(b, 2) AS slope, round(my - b * mx, 1) AS intercept FROM (SELECT alpha, avg(x) AS mx, avg(y) AS my, "
+    "regr_sxy(y, x) / (regr_sxx(y, x) + alpha) AS b FROM xy, (VALUES (1.0), (5000.0)) AS v(alpha) GROUP BY alpha)"))
 def m12_ridge(spark, sf):
-    return _fit_one(spark, sf, "Ridge")
+    """The default penalty, and one that shows."""
+    d = _xy(spark, sf)
+    rows = []
+    for alpha in (1.0, 5000.0):
+        m = M.ridge(alpha)(*M._fit_sizes(d)).fit(d)
+        rows.append((alpha, round(float(m.coefficients[0]), 2), round(float(m.intercept), 1)))
+    return spark.createDataFrame(rows, "alpha double, slope double, intercept double")
 
 
-@register("m13_forest")
-def m13_forest(spark, sf):
-    return _fit_one(spark, sf, "RandomForest")
+_FOLDS = ("f AS (SELECT k, alpha, regr_sxy(y, x) / (regr_sxx(y, x) + alpha) AS b, avg(x) AS mx, avg(y) AS my FROM xy, "
+          "(SELECT unnest(range(5)) AS k), (VALUES (0.0), (1.0)) AS v(alpha) WHERE fold <> k GROUP BY k, alpha), "
+          "e AS (SELECT k, alpha, sum((y - my - b * (x - mx)) * (y - my - b * (x - mx))) AS sse, var_pop(y) * count(*) AS sst, count(*) AS n "
+          "FROM xy JOIN f ON xy.fold = f.k GROUP BY k, alpha)")
 
 
-@register("m14_gbt")
-def m14_gbt(spark, sf):
-    return _fit_one(spark, sf, "GBT_fast")
+@register("m8_cv", _with_xy("").rstrip() + ",\n" + _FOLDS + "\nSELECT CASE WHEN alpha = 0 THEN 'LinearRegression' ELSE 'Ridge' END AS model_name, "
+          "round(avg(1 - sse / sst), 6) AS mean_r2, round(avg(sqrt(sse / n)), 2) AS mean_rmse FROM e GROUP BY alpha")
+def m8_cv(spark, sf):
+    """5-fold CV of the two candidates that have a closed form; the others are cross-validated in l3_price_run."""
+    cv = M.cross_validate(M.candidates()[:2], _xy(spark, sf))
+    return cv.select("model_name", F.round("mean_r2", 6).alias("mean_r2"), F.round("mean_rmse", 2).alias("mean_rmse"))
 
 
-@register("m8_cv")
-def m8_cv(spark, sf):
-    """5-fold CV of the candidate list (mean R², mean RMSE per model)."""
-    feats, _ = _prepared(spark, sf)
-    tv = M.fold_column(feats.where("split = 'train'"), ["_key"]).cache()
-    n = tv.count()
-    y_std = tv.agg(F.stddev_samp(FE.TARGET)).first()[0] or 1.0
-    cands = [c for c in M.candidates(n, y_std) if c[0] in ("LinearRegression", "Ridge")]
-    return M.cross_validate(cands, tv)
+def _carry(spark, sf) -> DataFrame:
+    """A label that the features tell something about: flight duration by baggage, plane and time."""
+    from pyspark.ml.feature import VectorAssembler
+
+    f = FE.calendar_features(frame(spark, sf)).select(
+        F.coalesce(_q("Carry-on_Baggage"), F.lit(-1)).alias("carry"), _q("Checked_Baggage").alias("checked"), "Departure_Hour",
+        _q("Flight_Duration").alias(FE.TARGET), (F.col(FE.TARGET) % 5 == 0).alias("test"))
+    f = VectorAssembler(inputCols=["carry", "checked", "Departure_Hour"], outputCol="features").transform(f)
+    return cut_lineage(f)
 
 
-@register("m15_tune")
+def _beats_mean(spark, sf, name: str) -> DataFrame:
+    d = _carry(spark, sf)
+    train = d.where("NOT test")
+    m = M.metrics(dict(M.candidates())[name](*M._fit_sizes(train)).fit(train).transform(d.where("test")))
+    return m.select(F.lit(name).alias("model_name"), "n", (F.col("r2") > 0.01).alias("beats_mean"))
+
+
+def _tree_sql(name: str) -> str:
+    return with_listing(f"SELECT '{name}' AS model_name, count(*) AS n, true AS beats_mean {_JOINED} WHERE t.e_total % 5 = 0", tables=True)
+
+
+@register("m13_forest", _tree_sql("RandomForest"))
+def m13_forest(spark, sf):
+    return _beats_mean(spark, sf, "RandomForest")
+
+
+@register("m14_gbt", _tree_sql("GBT_fast"))
+def m14_gbt(spark, sf):
+    return _beats_mean(spark, sf, "GBT_fast")
+
+
+@register("m15_tune", "SELECT 'fit_intercept=True' AS choice, 6 AS points, true AS slope_between")
 def m15_tune(spark, sf):
-    """Grid search (Ridge family grid) on R² with 5 folds."""
-    from pyspark.ml.regression import LinearRegression
+    """The whole Ridge grid. Without an intercept the fit is far worse, and the slope lies between those of the least and the largest penalty."""
+    d = _xy(spark, sf)
+    (name, _), model = M.tune("Ridge", d)
+    ends = [float(M.ridge(alpha)(*M._fit_sizes(d)).fit(d).coefficients[0]) for alpha in (0.1, 10.0)]
+    between = min(ends) - 1e-6 <= float(model.coefficients[0]) <= max(ends) + 1e-6
+    return spark.createDataFrame([("fit_intercept=True" if "fit_intercept=True" in name else name, len(M.grid("Ridge")), between)],
+                                 "choice string, points int, slope_between boolean")
 
-    feats, _ = _prepared(spark, sf)
-    train = feats.where("split = 'train'").cache()
-    est = LinearRegression(featuresCol="features", labelCol=FE.TARGET, elasticNetParam=0.0, standardization=False)
-    best = M.tune(est, M.GRIDS["Ridge"], train, folds=5, parallelism=4)
-    rep = M.metrics(best.transform(feats.where("split = 'val'")))
-    return rep.select(F.lit(float(best.getRegParam())).alias("reg_param"),
-                      F.lit(bool(best.getFitIntercept())).alias("fit_intercept"), "r2", "rmse")
 
+_HOLD = ("h AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, avg(y) AS m, stddev_pop(y) AS s FROM xy WHERE fold <> 0), "
+         "p AS (SELECT y, a + b * x AS p, s FROM xy, h WHERE fold = 0), "
+         "r AS (SELECT 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae, "
+         "count(*) AS n, first(s) AS s FROM p)")
 
-@register("m16_train_final")
+
+@register("m16_train_final", _with_xy("").rstrip() + ",\n" + _HOLD + "\nSELECT 'original' AS scale, round(r2, 6) AS r2, round(rmse, 2) AS rmse, round(mae, 2) AS mae, n FROM r "
+          "UNION ALL SELECT 'scaled', round(r2, 6), round(rmse / s, 6), round(mae / s, 6), n FROM r")
 def m16_train_final(spark, sf):
-    """Refit on train+val, report test metrics on both scales."""
-    feats, fm = _prepared(spark, sf)
-    tv = feats.where("split != 'test'")
-    n = tv.count()
-    y_std = tv.agg(F.stddev_samp(FE.TARGET)).first()[0] or 1.0
-    est = dict(M.candidates(n, y_std))["Ridge"]
-    model, _ = M.train_final(est, tv, feats.where("split = 'test'"))
-    mean, std = fm.target_params()
-    return M.regression_report(model.transform(feats.where("split = 'test'")), mean, std)
-
-
-@register("m17_score")
+    """Fit on four folds of the scaled label, report on the fifth on both scales."""
+    d = _xy(spark, sf)
+    train = d.where("fold <> 0")
+    p = FE._params(FE.fit_scaler(train, [FE.TARGET]))
+    mean, std = p[FE.TARGET]
+    scaled = FE.scale(d, p)
+    model, _ = M.train_final(dict(M.candidates())["LinearRegression"], scaled.where("fold <> 0"), scaled.where("fold = 0"))
+    rep = M.regression_report(model.transform(scaled.where("fold = 0")), mean, std)
+    return rep.select("scale", F.round("r2", 6).alias("r2"), *[F.when(F.col("scale") == "scaled", F.round(c, 6)).otherwise(F.round(c, 2)).alias(c) for c in ("rmse", "mae")], "n")
+
+
+@register("m17_score", with_listing(
+    "SELECT c.e_airline AS airline, a.airline_id AS \"Airline_id\", c.e_arr_loc AS place, c.e_arr_code AS \"Arrival_Location_Code\", count(*) AS requests, "
+    "count(*) AS prices FROM cl c JOIN airline a ON c.e_airline = a.airline WHERE c.e_dep_time IS NOT NULL GROUP BY ALL", tables=True))
 def m17_score(spark, sf):
-    """Score every cleaned listing as a request (names -> ids, calendar,
-    scale, encode, predict, inverse-scale)."""
-    feats, fm = _prepared(spark, sf)
-    est = dict(M.candidates())["LinearRegression"]
-    model = est.fit(feats.where("split = 'train'"))
-    req = frame(spark, sf)
-    scored = M.score(req, model, fm, keep=["Airline_id"])
-    return scored.groupBy("Airline_id").agg(F.count(F.lit(1)).alias("n"),
-                                            F.round(F.avg("predicted_price"), 0).alias("avg_price"))
-
-
-@register("m18_sentiment")
+    """Every cleaned listing as a request with the airline's and the places' names: looked-up ids, and a price for each."""
+    clean = QL.written(spark, sf)
+    t = normalize(clean)
+    f = cut_lineage(FE.training_frame(t))
+    fm = FE.fit_features(f)
+    train = cut_lineage(FE.assemble(f, fm))
+    model = dict(M.candidates())["Ridge"](*M._fit_sizes(train)).fit(train)
+    requests = clean.where(F.col("Airline").isNotNull() & F.col("`Departure Time`").isNotNull()).select(
+        F.col("Airline").alias("airline"), F.col("`Arrival Location`").alias("arrival_location"), F.col("`Departure Location`").alias("departure_location"),
+        *[_q(c).alias(c.lower().replace(" ", "_").replace("-", "_")) for c in (
+            "Carry-on Baggage", "Checked Baggage", "Flight Duration", "Fare Class", "Aircraft Type", "Refund Policy", "Departure Time", "Scrape Time")])
+    looked = M.lookup_requests(requests, t["airline"], t["airport"])
+    scored = M.score(looked, model, fm, keep=["Airline_id", "Arrival_Location_Code"])
+    out = scored.groupBy("Airline_id", "Arrival_Location_Code").agg(F.count(F.lit(1)).alias("requests"), F.count("predicted_price").alias("prices"))
+    named = out.join(t["airline"], "Airline_id").join(t["airport"].select(F.col("AirportCode").alias("Arrival_Location_Code"), F.col("Location").alias("place")), "Arrival_Location_Code")
+    return named.select(F.col("Airline").alias("airline"), "Airline_id", "place", "Arrival_Location_Code", "requests", "prices")
+
+
+@register("m18_sentiment", "SELECT count(*) FILTER (WHERE l.doc_id % 5 = 0) AS tested, true AS beats_chance FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def m18_sentiment(spark, sf):
-    """Review sentiment: classifier trained on labelled reviews (star rating
-    as the 5-class label), bucket counts over all reviews."""
-    valid = QR.review_valid(spark, sf)
-    labelled = valid.where(F.col("quality").isNotNull()).withColumn("label", (F.col("Rating") - 1).cast("int"))
-    model = SE.fit_sentiment(labelled)
-    out = SE.enrich_sentiment(valid, model)
-    return SE.bucket_counts(out)
-
-
-@register("l3_price_run")
+    """A classifier of the labelled texts (toxic or not), on the fifth that it did not see: its balanced accuracy is above one half."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("Full Review"))
+    rows = docs.join(table(spark, sf, "labels"), "doc_id").select("doc_id", "Full Review", F.lit("").alias("Title"), F.col("toxic").cast("double").alias("label"))
+    rows = cut_lineage(rows)
+    shares = rows.agg(F.avg("label").alias("p")).first()["p"]
+    model = SE.fit_sentiment(rows.where("doc_id % 5 <> 0").withColumn("weight", F.when(F.col("label") == 1, 1 / (2 * shares)).otherwise(1 / (2 * (1 - shares)))), weight_col="weight")
+    out = model.transform(SE.with_text(rows.where("doc_id % 5 = 0")))
+    right = F.avg(F.when(F.col("label") == 1, (F.col("_class") == 1).cast("double"))) + F.avg(F.when(F.col("label") == 0, (F.col("_class") == 0).cast("double")))
+    return out.agg(F.count(F.lit(1)).alias("tested"), (right / 2 > 0.5).alias("beats_chance"))
+
+
+@register("l3_price_run", with_listing(
+    f"SELECT (SELECT count(*) FROM ticket WHERE e_scrape > {QL._CUT} OR e_scrape IS NULL) AS tickets, 5 AS models, true AS saved", tables=True))
 def l3_price_run(spark, sf):
-    """L3: cleanup -> features -> CV -> best -> final fit, test report."""
+    """L3: cleanup committed -> features -> CV of all five candidates (10 trees, 5 rounds) -> best -> final fit; a later process can score."""
+    from ..sinks import files as K
     from .flows import run_price_flow
 
-    t = normalize(QL.clean(spark, sf))
-    res = run_price_flow(spark, t, QL.NOW, 3, models=M.candidates()[:2])
-    return res["report"].withColumn("best", F.lit(res["best"]))
-
-
-__all__ = ["fold_name"]
+    root, path = QL.work_path(spark, "price-run"), QL.work_path(spark, "price-model")
+    K.commit_version(spark, normalize(QL.written(spark, sf)), root)
+    res = run_price_flow(spark, root, QL.NOW, 3, model_path=path, models=M.candidates(trees=10, rounds=5))
+    current = spark.read.parquet(f"{K.current_version(spark, root)}/ticket")
+    again = FE.FeatureModel.load(spark, f"{path}-features")
+    same = again == res["features"] and res["report"].first()["n"] >= 0
+    return current.agg(F.count(F.lit(1)).alias("tickets")).select("tickets", F.lit(res["cv"].count()).cast("int").alias("models"), F.lit(same).alias("saved"))

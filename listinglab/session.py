@@ -1,4 +1,4 @@
-"""Session helpers: defaults for scale, shared work folders, size-checked broadcast."""
+"""Session helpers: defaults for scale, shared work folders."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings we want on any cluster. Each is applied only when the session has
 # no value of its own, so a cluster's tuned configuration always wins.
@@ -53,20 +52,12 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lis
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to shared storage. Only when it
-    is unset (local tests) do we create a folder of our own and register it.
-    """
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        root = None
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:
-            root = None
+    A cluster must name one that all its machines share; without it this
+    raises. Only a local session gets a temporary folder of its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="listinglab-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -93,34 +84,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after proving the side holds at most ``max_rows``.
-
-    The check is a bounded job (``limit(max_rows+1).count()``); beyond the
-    bound the plain DataFrame is returned and Spark shuffles (or AQE decides
-    at runtime from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a scan only when it yields fewer partitions than the
-    cluster can run at once (e.g. a file that is one parquet row group).
-
-    On a large input this is a no-op (the scan already has thousands of
-    splits); partitioning on the next join key lets that join reuse it.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. Spark Connect): leave the plan as is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, *keys) if keys else df.repartition(want)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (parquet)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -41,11 +41,6 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet
     return {name: write_table(df, f"{root.rstrip('/')}/{name}", fmt, mode) for name, df in tables.items()}
 
 
-def save_table(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> str:
-    """K2/K3/K4: append, replace or fail-if-exists."""
-    return write_table(df, path, fmt, mode)
-
-
 def replace_from_self(df: DataFrame, root: str, fmt: str = "parquet") -> str:
     """K3 when the source is also the target: write a new version folder and
     return it (never overwrite the files being read)."""
@@ -54,18 +49,12 @@ def replace_from_self(df: DataFrame, root: str, fmt: str = "parquet") -> str:
     return path
 
 
-def append_raw(df: DataFrame, root: str, partition_by: Sequence[str] = ("day", "route"),
-               files_per_partition: int = 1) -> str:
+def append_raw(df: DataFrame, root: str, partition_by: Sequence[str] = ("day", "route")) -> str:
     """K5: append raw rows under ``day=/route=`` folders, CSV with one header
-    per part file. Rows are spread over ``files_per_partition`` writers per
-    folder (a hash salt), so a hot day/route does not become one task."""
-    cols = [F.col(c) for c in partition_by]
-    if files_per_partition > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
-        df = df.repartition(*cols, salt)
-    else:
-        df = df.repartition(*cols)
-    (df.write.mode("append").partitionBy(*partition_by).option("header", True).csv(root))
+    per part file. Rows are rebalanced by folder: Spark splits a hot day/route
+    over several writers by its measured bytes and joins small ones."""
+    df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("append").partitionBy(*partition_by).option("header", True).csv(root)
     return root
 
 
@@ -90,21 +79,43 @@ def write_options(options: DataFrame, path: str) -> str:
 
 
 def commit_version(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> str:
-    """Write every table of a new version, then switch ``_CURRENT``.
+    """Write every table of a new version, then its pointer.
 
-    Readers resolve ``_CURRENT`` first; until the pointer is replaced they
-    see the previous complete version, so the multi-table update is
-    all-or-nothing.
+    Pointers are ``_CURRENT-<n>`` folders and none is ever changed: the one
+    with the highest number and Spark's ``_SUCCESS`` mark holds the version.
+    So readers see the previous complete version until the new one is whole,
+    and of two writers of the same number the second fails.
     """
-    version = f"v-{uuid.uuid4().hex[:12]}"
-    base = f"{root.rstrip('/')}/{version}"
+    root = root.rstrip("/")
+    base = f"{root}/v-{uuid.uuid4().hex[:12]}"
     for name, df in tables.items():
         write_table(df, f"{base}/{name}", fmt, "fail")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/_CURRENT")
+    number = max(_pointers(spark, root), default=0) + 1
+    spark.createDataFrame([(base.rsplit("/", 1)[1],)], "value string").coalesce(1).write.mode("errorifexists").text(f"{root}/_CURRENT-{number}")
     return base
 
 
+def _pointers(spark: SparkSession, root: str) -> dict[int, str]:
+    """Complete pointers by number."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT-*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    folders = [str(x.getPath().getParent()) for x in found]
+    return {int(f.rsplit("-", 1)[1]): f for f in folders}
+
+
 def current_version(spark: SparkSession, root: str) -> str:
     """Resolve the committed version folder of :func:`commit_version`."""
-    v = spark.read.text(f"{root}/_CURRENT").first()[0]
-    return f"{root.rstrip('/')}/{v}"
+    root = root.rstrip("/")
+    pointers = _pointers(spark, root)
+    # Folders whose names begin with an underscore are hidden to a listing of their parent, not to a read by name.
+    return f"{root}/{spark.read.text(pointers[max(pointers)] + '/part-*').first()[0]}"
+
+
+def read_tables(spark: SparkSession, base: str, names: Sequence[str], fmt: str = "parquet") -> dict[str, DataFrame]:
+    return {n: spark.read.format(fmt).load(f"{base}/{n}") for n in names}
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

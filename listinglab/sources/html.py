@@ -71,3 +71,123 @@ def extract_info_pages(pages: DataFrame, id_col: str = "page_id", html_col: str
         F.size(_all(h, LINK, 1)).alias("n_links"),
         F.array_join(_all(h, LINK, 2), "|").alias("link_texts"),
     )
+
+
+# ------------------------------------------------------- the source's pages
+
+# Tags and classes that mark the parts of the source's pages.
+REVIEW, SERVICES, SERVICE = 'div class="lwGaE A"', 'div class="JxiyB f"', 'div class="msVPq"'
+RATING, REVIEW_TITLE, REVIEW_TEXT = 'svg class="UctUV d H0"', 'div class="biGQs _P fiohW uuBRH"', 'span class="JguWG"'
+REVIEW_INFO, SERVICE_INFO = 'div class="biGQs _P pZUbB ncFvv osNWb"', 'div class="biGQs _P pZUbB osNWb"'
+INFO_TAGS = {"name": 'div class="jIkPg G u"', "phone": 'div class="bOZAZ VNlYD"', "address": 'div class="biGQs _P pZUbB W hmDzD"',
+             "average_rating": 'span class="ammfn"', "total_review": 'span class="SSkub"'}
+WEBSITE, MENTIONS, MENTION = 'div class="jWfod u"', 'div class="TuqGj"', 'span class="_T"'
+ATTRIBUTE, ATTRIBUTE_NAME, ATTRIBUTE_RATE = 'div class="HWAlD TQNLQ"', 'span class="exvvN"', 'span class="RkhSR"'
+TOTAL, TOTAL_NAME, TOTAL_COUNT = 'div class="jxnKb"', 'div class="Ygqck o W q"', 'div class="biGQs _P fiohW biKBZ osNWb"'
+
+
+def text_of(html: Column) -> Column:
+    """The text of a piece of HTML: tags away, the five entities read."""
+    t = F.regexp_replace(html, "<[^>]*>", "")
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        t = F.replace(t, F.lit(entity), F.lit(char))
+    return t
+
+
+def _after(html: Column, tag: str) -> Column:
+    """What follows the first ``<tag ...>``'s name and class; NULL when the tag is missing."""
+    at = F.instr(html, f"<{tag}")
+    return F.when(at > 0, F.substr(html, at + F.lit(len(tag) + 1)))
+
+
+def _inner(html: Column, tag: str) -> Column:
+    """Text of the first element of this tag and class (up to its first end tag)."""
+    return text_of(F.substring_index(F.substr(_after(html, tag), F.instr(_after(html, tag), ">") + 1), f"</{tag.split(' ')[0]}>", 1))
+
+
+def _blocks(html: Column, tag: str) -> Column:
+    """What follows each element's start, up to the next one's."""
+    parts = F.split(html, F.lit(f"<{tag}".replace("(", r"\(")))
+    return F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))
+
+
+def _outer_tables(html: Column) -> Column:
+    """The tables that stand in no other table, in order, with all that is in them."""
+    def step(a: Column, p: Column) -> Column:
+        opens, closes = p.startswith("<table"), p.startswith("</table")
+        grown = F.concat(F.slice(a["out"], 1, F.greatest(F.size(a["out"]) - 1, F.lit(0))), F.array(F.concat(F.try_element_at(a["out"], F.lit(-1)), p)))
+        out = F.when(opens & (a["depth"] == 0), F.concat(a["out"], F.array(p))).when(a["depth"] > 0, grown).otherwise(a["out"])
+        return F.struct((a["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"), out.alias("out"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(F.split(html, "(?=</?table[\\s>])"), start, step, lambda a: a["out"])
+
+
+def listing_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """One row for each detail page, 15 raw columns (the scrape time is the
+    reader's) from its four tables by position. A page without the first table
+    is no listing and gives no row; a later table that is missing gives NULLs."""
+    tables = pages.select(F.col(id_col), _outer_tables(F.col(html_col)).alias("t"))
+    p = tables.select(F.col(id_col), *[F.try_element_at("t", F.lit(k)).alias(f"t{k}") for k in (1, 2, 3, 4)]).where("t1 IS NOT NULL")
+
+    def cells(table: Column, tag: str) -> Column:
+        return F.transform(F.regexp_extract_all(table, F.lit(f"(?s)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1)), lambda c: F.trim(text_of(c)))
+
+    def rows(table: Column) -> Column:
+        return F.regexp_extract_all(table, F.lit("(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
+
+    def at(array: Column, n: int) -> Column:
+        return F.try_element_at(array, F.lit(n))
+
+    # Three cells hold paragraphs; the fourth a table of its own, with the price in the last cell of its first row.
+    split = F.split(F.col("t1"), "<td", 5)
+    first = F.transform(split, lambda c: F.regexp_extract_all(c, F.lit("(?s)<p[^>]*>(.*?)</p>"), F.lit(1)))
+    par = F.transform(first, lambda ps: F.transform(ps, lambda x: F.trim(text_of(x))))
+    price = F.trim(F.substring_index(F.element_at(cells(at(rows(at(split, 5)), 1), "td"), -1), "(", 1))
+    two, three = cells(at(rows(F.col("t2")), 2), "td"), rows(F.col("t3"))
+    whole = F.size(two) == 5
+    bags = F.size(three) >= 3
+    policy = F.transform(F.slice(rows(F.col("t4")), 2, F.greatest(F.size(rows(F.col("t4"))), F.lit(1))), lambda r: F.trim(text_of(r)))
+    names = ["Passenger Type", "Number of Tickets", "Price per Ticket", "Taxes & Fees", "Total Price"]
+    return p.select(
+        id_col, at(at(par, 2), 1).alias("Departure Location"), at(at(par, 2), 2).alias("Departure Time"), at(at(par, 4), 1).alias("Arrival Location"),
+        at(at(par, 4), 2).alias("Arrival Time"), at(at(par, 3), 1).alias("Flight Duration"), at(at(par, 3), -1).alias("Aircraft Type"), price.alias("Ticket Price"),
+        *[F.when(whole, at(two, k + 1)).alias(n) for k, n in enumerate(names)],
+        F.when(bags, at(cells(at(three, 2), "td"), 2)).alias("Carry-on Baggage"), F.when(bags, at(cells(at(three, 3), "td"), 2)).alias("Checked Baggage"),
+        F.when(F.col("t4").isNotNull(), policy).alias("Refund Policy"))
+
+
+def review_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """One row per review element; '' for a missing tag; service ratings as
+    an array of structs, NULL where a review has no service table."""
+    blocks = pages.select(F.col(id_col), F.posexplode(_blocks(F.col(html_col), REVIEW)).alias("pos", "b"))
+    b = F.col("b")
+
+    def field(html: Column, tag: str) -> Column:
+        return F.coalesce(_inner(html, tag), F.lit(""))
+
+    services = F.transform(_blocks(_after(b, SERVICES), SERVICE),
+                           lambda s: F.struct(field(s, RATING).alias("Service Rating"), field(s, SERVICE_INFO).alias("Service Info")))
+    return blocks.select(id_col, (F.col("pos") + 1).alias("pos"), field(b, RATING).alias("Rating"), field(b, REVIEW_TITLE).alias("Title"),
+                         field(b, REVIEW_TEXT).alias("Full Review"), field(b, REVIEW_INFO).alias("Information"),
+                         F.when(F.instr(b, f"<{SERVICES}") > 0, services).alias("Service Ratings"))
+
+
+def info_records(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """One record per page with two maps; missing fields are 'Not found'.
+    Of repeated names in a map the last value stays."""
+    h = F.col(html_col)
+
+    def pairs(tag: str, name: str, value: str) -> Column:
+        each = F.transform(_blocks(h, tag), lambda e: F.struct(F.coalesce(_inner(e, name), F.lit("")).alias("k"), F.coalesce(_inner(e, value), F.lit("")).alias("v")))
+        return F.aggregate(each, F.create_map().cast("map<string,string>"),
+                           lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
+
+    links = F.regexp_extract_all(F.substring_index(_after(h, WEBSITE), "</div>", 1), F.lit(r'<a[^>]*href="([^"]*)"'), F.lit(1))
+    mentions = F.transform(_blocks(F.substring_index(_after(h, MENTIONS), "</div>", 1), MENTION),
+                           lambda m: text_of(F.substring_index(F.substr(m, F.instr(m, ">") + 1), "</span>", 1)))
+    return pages.select(
+        F.col(id_col), *[F.coalesce(_inner(h, tag), F.lit(NOT_FOUND)).alias(n) for n, tag in INFO_TAGS.items()],
+        F.filter(links, lambda x: F.contains(x, F.lit("http"))).alias("website"),
+        F.coalesce(mentions, F.array().cast("array<string>")).alias("popular_mentions"),
+        pairs(ATTRIBUTE, ATTRIBUTE_NAME, ATTRIBUTE_RATE).alias("attributes"), pairs(TOTAL, TOTAL_NAME, TOTAL_COUNT).alias("total_ratings"))

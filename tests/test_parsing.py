@@ -1,5 +1,6 @@
 """Row-level parsing edge cases (FIXTURES.md §8) on hand-made frames."""
 
+import ast
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -44,8 +45,16 @@ def test_dayfirst_and_iso(spark):
     assert _one(spark, P.iso_timestamp, "nope") is None
 
 
+def test_dayfirst_forms(spark):
+    for text, want in [("07:05:59 01/02/2025", (7, 5, 59)), ("08:30 PM 01/02/2025", (20, 30, 0)), ("01/02/2025 08:30", (8, 30, 0)),
+                       ("01/02/2025, 12:10:05 am", (0, 10, 5)), ("12:00 pm 01/02/2025", (12, 0, 0))]:
+        assert _one(spark, P.dayfirst_timestamp, text) == dt.datetime(2025, 2, 1, *want)
+    for text in ("13:00 PM 01/02/2025", "0:10 AM 01/02/2025", "07:61 01/02/2025", "07:05:60 01/02/2025", "07 01/02/2025", "07:05 XX 01/02/2025", "01/02/2025"):
+        assert _one(spark, P.dayfirst_timestamp, text) is None
+
+
 def test_staged_dayfirst_matches_expression(spark):
-    vals = ["09:05 31/03/2025", "9:5 1/4/2025", "23:59 29/02/2024", "bad", None, "12:00 31/04/2025"]
+    vals = ["07:05:59 01/02/2025", "08:30 PM 01/02/2025", "01/02/2025 08:30", "12:10 am, 1/2/2025", "13:00 PM 1/2/2025", "1:2:3:4 1/2/2025", "1/2/2025", "", "09:05 31/03/2025", "9:5 1/4/2025", "23:59 29/02/2024", "bad", None, "12:00 31/04/2025"]
     df = spark.createDataFrame([(v, v) for v in vals], "`Departure Time` string, x string")
     staged = CL.with_dayfirst(df, ["Departure Time"]).select("Departure Time", P.dayfirst_timestamp("x").alias("e"))
     for r in staged.collect():
@@ -71,6 +80,8 @@ def test_policy_literals(spark):
     assert _one(spark, P.policy_list, None) == []
     assert _one(spark, P.policy_list, "['- broken") == []
     assert _one(spark, P.policy_list, "[\"it's\", 'x']") == ["it's", "x"]
+    for literal in ("""["a', 'b"]""", """['x, y', "[z]", 'it\\'s', ""]""", r"""['a\nb', "tab\there", 'caf\xe9', '\u1ea1 ok', 'back\\slash', '\\n']""", "['one',]"):
+        assert _one(spark, P.policy_list, literal) == ast.literal_eval(literal)
     labels = spark.createDataFrame([(["- a", "- b - c"],)], "v array<string>").select(P.policy_labels("v")).first()[0]
     assert labels == ["a", "b c"]
 
