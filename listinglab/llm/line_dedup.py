@@ -1,12 +1,13 @@
 """Operator 5: line deduplication by content-defined chunks.
 
 Units. A text is a sequence of lines; a line of over ``LONG_LINE`` words (a
-paragraph on one line) counts as a line for each sentence. Blank lines belong
-to the line before.
+paragraph on one line) counts as a line for each sentence, and a sentence of
+as many words as one for each piece between words that their hash chooses.
+Blank lines belong to the line before.
 
 Chunks. Each line has a hash, and a rolling hash over the last two line hashes
-marks the lines where a chunk ends (one in ``EVERY`` on average, two lines at
-least). The ends depend on the lines near them alone, so a passage gives the
+marks the lines where a chunk ends (two thirds of them, but a chunk has two
+lines at least). The ends depend on the lines near them alone, so a passage gives the
 same chunks wherever it stands, but for the part before its first boundary.
 
 Removal. A chunk of two lines and ``MIN_WORDS`` words or more that occurs more
@@ -44,7 +45,9 @@ from pyspark.sql import types as T
 
 from listinglab.llm.common import save, slices, texts
 
-LONG_LINE, EVERY, MIN_LINES, MIN_WORDS = 50, 2, 2, 10
+LONG_LINE, MIN_LINES, MIN_WORDS = 50, 2, 10
+#: A chunk ends at this share of the lines, and a sentence of over LONG_LINE words at one word in CUT.
+SHARE, OF, CUT = 2, 3, 8
 FILTER_BITS = 24
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -61,11 +64,25 @@ def lines(body: bytes) -> list[bytes]:
             out.append(line)
         else:
             parts = _SENTENCE.split(line)
-            out.extend(p + b" " for p in parts[:-1])
-            out.append(parts[-1])
+            for part in [*[p + b" " for p in parts[:-1]], parts[-1]]:
+                out.extend([part] if part.count(b" ") <= LONG_LINE else _pieces(part))
     return out
 
 
+def _pieces(sentence: bytes) -> list[bytes]:
+    """A very long sentence, cut behind words that their own hash chooses."""
+    out, held = [], []
+    for word in sentence.split(b" "):
+        held.append(word)
+        if xxhash.xxh64_intdigest(word) % CUT == 0:
+            out.append(b" ".join(held) + b" ")
+            held = []
+    out.append(b" ".join(held))
+    if not out[-1]:
+        out.pop()
+    return out if b"".join(out) == sentence else [*out[:-1], out[-1].removesuffix(b" ")]
+
+
 def chunks(body: bytes) -> list[tuple[int, int, bytes]]:
     """(start, end, content) of the chunks that may be removed; byte offsets."""
     own = lines(body)
@@ -76,7 +93,7 @@ def chunks(body: bytes) -> list[tuple[int, int, bytes]]:
     hashes = np.array([digest(x) for x in bare], np.uint64)
     rolling = hashes.copy()
     rolling[1:] += hashes[:-1] * _MIX
-    ends = np.flatnonzero(((rolling * _MIX) >> np.uint64(33)) % np.uint64(EVERY) == 0) + 1
+    ends = np.flatnonzero(((rolling * _MIX) >> np.uint64(33)) % np.uint64(OF) < SHARE) + 1
     places = np.concatenate([[0], np.cumsum([len(x) for x in own])]).tolist()
     out, first = [], 0
     for end in [*ends.tolist(), len(own)]:
@@ -152,9 +169,13 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bi
     tagged = source.withColumn("tag", F.xxhash64("body"))
     found = save(_places(tagged, held, bits), "line-places")
     where = F.struct("doc_id", "tag", "start")
-    classes = save(found.groupBy("h", "content").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("first")).where("n > 1")
-                   .select("h", "content", "first"), "line-classes")
-    cut = found.join(classes, ["h", "content"]).where(~where.eqNullSafe(F.col("first")))
+    every = save(found.groupBy("h", "content").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("first")), "line-classes")
+    # Hashes of one content, nearly all, join without their bytes; the others join with them.
+    kinds = every.groupBy("h").agg(F.count(F.lit(1)).alias("contents"))
+    alone = every.join(kinds.where("contents = 1"), "h").where("n > 1").select("h", "first")
+    shared = every.join(kinds.where("contents > 1"), "h").where("n > 1").select("h", "content", "first")
+    kept = [found.drop("content").join(alone, "h"), found.join(shared, ["h", "content"]).drop("content")]
+    cut = kept[0].unionByName(kept[1]).where(~where.eqNullSafe(F.col("first")))
     return cut.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
