@@ -8,13 +8,13 @@ nothing is collected into one row or one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
-from .keys import consecutive_index
+from ..session import cut_lineage
 
 
 def _q(c: str) -> Column:
@@ -185,51 +185,52 @@ def value_ratios(df: DataFrame, cols: Sequence[str], places: int = 1) -> DataFra
         "column_name", "value", F.round(F.col("count") / F.col("_total") * 100, places).alias("percent"))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact linear-interpolation quantiles without one big aggregate buffer.
+def exact_quantiles_of(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact linear-interpolation quantiles of several columns in one job: (column_name, q, value).
+
+    Equal values are counted first (map-side combine, so a hot value is one
+    row), and the counts range-sorted by column and value. Sums by range
+    partition, a table of partitions times columns, say which partition holds
+    each wanted rank; only those partitions are totalled and looked into."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).cast("double").alias("v")) for c in cols]))
+    counts = df.select(each.alias("x")).select("x.*").where("v IS NOT NULL").groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    placed = cut_lineage(counts.repartitionByRange(parts, "column_name", "v").withColumn("_pid", F.spark_partition_id()))
+    column = Window.partitionBy("column_name")
+    spans = placed.groupBy("_pid", "column_name").agg(F.sum("n").alias("here")).select(
+        "_pid", "column_name", "here", F.sum("here").over(column).alias("total"),
+        (F.sum("here").over(column.orderBy("_pid")) - F.col("here")).alias("before"))
+    ranks = F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), (F.lit(float(q)) * (F.col("total") - 1)).alias("pos")) for q in qs]))
+    wanted = spans.select("*", ranks.alias("r")).select("_pid", "column_name", "here", "before", "r.*").withColumn(
+        "rank", F.explode(F.array_distinct(F.array(F.floor("pos"), F.ceil("pos"))))).where("before <= rank AND rank < before + here")
+    # Two ranks for each column and quantile at most.
+    held = placed.join(F.broadcast(wanted.select("_pid", "column_name", "before").distinct()), ["_pid", "column_name"])
+    upto = held.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("_pid", "column_name").orderBy("v")))
+    hits = upto.drop("before").join(F.broadcast(wanted.drop("here", "before")), ["_pid", "column_name"]).where("upto - n <= rank AND rank < upto")
+    return hits.groupBy("column_name", "q").agg(
+        (F.min("v") + (F.max("v") - F.min("v")) * F.max(F.col("pos") - F.floor("pos"))).alias("value"))
 
-    Values are range-sorted across the cluster and numbered (see
-    :mod:`listinglab.operators.keys`); only the rows at the needed ranks are
-    kept and interpolated. A tie-breaker spreads a hot value over several
-    range partitions. Returns (q, value).
-    """
-    # Deterministic tie-breaker (hash of the whole source row): equal values
-    # from different rows can land in different range partitions, and every
-    # re-execution numbers the rows identically.
-    vals = df.select(_q(col).cast("double").alias("v"), F.xxhash64(*[_q(c) for c in df.columns]).alias("_t")) \
-        .where(F.col("v").isNotNull())
-    idx = consecutive_index(vals, [F.col("v"), F.col("_t")], "_i", start=0)
-    n = idx.agg(F.count(F.lit(1)).alias("n"))
-    spark = df.sparkSession
-    qdf = spark.createDataFrame([(float(q),) for q in qs], "q double").crossJoin(n).where("n > 0") \
-        .withColumn("pos", F.col("q") * (F.col("n") - 1)) \
-        .withColumn("lo", F.floor("pos")).withColumn("hi", F.ceil("pos"))
-    need = qdf.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_i")).distinct()
-    picked = idx.join(F.broadcast(need), "_i").select("_i", "v")   # |qs|*2 rows at most
-    lo = picked.withColumnRenamed("_i", "lo").withColumnRenamed("v", "vlo")
-    hi = picked.withColumnRenamed("_i", "hi").withColumnRenamed("v", "vhi")
-    return qdf.join(lo, "lo").join(hi, "hi").select(
-        "q", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * (F.col("pos") - F.col("lo"))).alias("value"))
+
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact linear-interpolation quantiles of one column: (q, value)."""
+    return exact_quantiles_of(df, [col], qs).select("q", "value")
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Count, mean, std (n-1), min, 25%, 50%, 75%, max per column (long form)."""
-    out = None
-    for c in cols:
-        v = _q(c).cast("double")
-        stats = df.agg(F.count(v).cast("bigint").alias("count"), F.avg(v).alias("mean"),
-                       F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-        if approx:
-            qs = df.agg(*[F.percentile_approx(v, q, 10000).alias(f"q{int(q * 100)}") for q in (0.25, 0.5, 0.75)])
-        else:
-            qq = exact_quantiles(df, c)
-            qs = qq.agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"q{int(q * 100)}")
-                          for q in (0.25, 0.5, 0.75)])
-        row = stats.crossJoin(qs).select(F.lit(c).alias("column_name"), "count", "mean", "std", "min",
-                                         F.col("q25").alias("p25"), F.col("q50").alias("p50"),
-                                         F.col("q75").alias("p75"), "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Count, mean, std (n-1), min, 25%, 50%, 75%, max per column (long form).
+    One pass for the moments of all columns and one for their quantiles."""
+    qs = (0.25, 0.5, 0.75)
+    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    if approx:
+        kinds |= {f"p{int(q * 100)}": lambda v, q=q: F.percentile_approx(v, q, 10000) for q in qs}
+    one = df.agg(*[F.struct(F.lit(c).alias("column_name"), *[f(_q(c).cast("double")).alias(k) for k, f in kinds.items()]).alias(f"_{i}")
+                   for i, c in enumerate(cols)])
+    stats = one.select(F.explode(F.array(*[f"_{i}" for i in range(len(cols))])).alias("s")).select("s.*")
+    if not approx:
+        found = exact_quantiles_of(df, cols, qs).groupBy("column_name").agg(
+            *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in qs])
+        stats = stats.join(found, "column_name", "left")
+    return stats.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -284,12 +285,3 @@ def audit(frames: dict[str, DataFrame]) -> DataFrame:
         r = f.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit(name).alias("name"), "rows")
         out = r if out is None else out.unionByName(r)
     return out
-
-
-def explode_count(df: DataFrame, col: str, name: str = "value") -> DataFrame:
-    """Count of each element of a list column (NULL for empty lists)."""
-    return df.select(F.explode_outer(_q(col)).alias(name)).groupBy(name).count()
-
-
-def iter_cols(cols: Iterable[str]) -> list[str]:
-    return list(cols)

@@ -17,6 +17,7 @@ from ..functions.calendar import dim_id
 from ..functions.text import bubbles
 from ..schemas import SCHEDULE_COLUMNS, TICKET_COLUMNS
 from .keys import consecutive_index
+from .ordering import union_distinct
 
 def _q(c: str):
     return F.col(f"`{c}`")
@@ -26,7 +27,7 @@ def make_airports(df: DataFrame) -> DataFrame:
     """Distinct (code, location) of departures UNION arrivals, distinct."""
     dep = df.select(_q("Departure Location Code").alias("AirportCode"), _q("Departure Location").alias("Location"))
     arr = df.select(_q("Arrival Location Code").alias("AirportCode"), _q("Arrival Location").alias("Location"))
-    return dep.unionByName(arr).distinct()
+    return union_distinct(dep, arr)
 
 
 def make_airlines(df: DataFrame, registry: DataFrame | None = None,

@@ -160,7 +160,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         k.alias("doc_id"),
         rating.alias("Rating"),
-        F.substring("text", 1, 40).alias("Title"),
+        F.substring_index("text", "\n", 1).alias("Title"),
         F.col("text").alias("Full Review"),
         info.alias("Information"),
         services.alias("Service Ratings"),

@@ -131,7 +131,7 @@ rv AS (
          WHEN d.doc_id % 89 = 7 THEN 'bad'
          ELSE 'ok' END AS info_kind,
     make_timestamp(2024, CAST(d.doc_id % 12 + 1 AS BIGINT), 1, 0, 0, 0) AS e_month,
-    substr(d.text, 1, 40) AS title
+    split_part(d.text, chr(10), 1) AS title
   FROM documents d LEFT JOIN labels lb ON d.doc_id = lb.doc_id
 ),
 rk AS (SELECT *, dense_rank() OVER (ORDER BY source) - 1 AS airline_id0 FROM rv

@@ -390,7 +390,7 @@ def n5_tickets(spark, sf):
     return t.select(*[_q(c).alias(o) for c, o in zip(cols, _TICKET_OUT)])
 
 
-@register("n6_counts", with_listing(_TABLE_ROWS_SQL, tables=True), bench=True)
+@register("n6_counts", with_listing(_TABLE_ROWS_SQL, tables=True))
 def n6_counts(spark, sf):
     """All five tables, every row."""
     return table_rows(tables(spark, sf))
@@ -419,7 +419,7 @@ def n13_explode_counts(spark, sf):
 @register("j1_ticket_schedule", with_listing(
     "SELECT t.airline_id AS \"Airline_id\", count(*) AS n, sum(t.e_total) AS total, sum(s.e_duration * 100)::BIGINT AS dur100 "
     "FROM ticket t JOIN schedule s ON t.e_dep_time = s.e_dep_time AND t.e_flight = s.e_flight "
-    "AND t.e_dep_code = s.e_dep_code GROUP BY ALL", tables=True), bench=True)
+    "AND t.e_dep_code = s.e_dep_code GROUP BY ALL", tables=True))
 def j1_ticket_schedule(spark, sf):
     t = tables(spark, sf)
     j = J.ticket_schedule(t["ticket"], t["flight_schedule"])
@@ -605,7 +605,7 @@ def a12_num_values(spark, sf):
     "SELECT column_name, value, round(n * 100.0 / sum(n) OVER (PARTITION BY column_name), 1)::DOUBLE AS percent FROM ("
     + " UNION ALL ".join(
         f"SELECT '{k}' AS column_name, CAST({v} AS VARCHAR) AS value, count(*) AS n FROM cl WHERE {v} IS NOT NULL GROUP BY ALL"
-        for k, v in _EPROF.items()) + ")"), bench=True)
+        for k, v in _EPROF.items()) + ")"))
 def a13_value_ratios(spark, sf):
     return A.value_ratios(clean(spark, sf), _PROFILE_COLS)
 
@@ -631,32 +631,32 @@ def a15_duplicates(spark, sf):
     return A.duplicate_count(clean(spark, sf))
 
 
-@register("a16_profile", with_listing(
-    "SELECT column_name, dtype, null_count, (SELECT count(*) FROM cl) AS rows, 20 AS columns FROM ("
-    "SELECT 'Departure Time' AS column_name, 'timestamp_ntz' AS dtype, count(*) FILTER (WHERE e_dep_time IS NULL) AS null_count FROM cl"
-    " UNION ALL SELECT 'Checked Baggage', 'int', count(*) FILTER (WHERE e_checked IS NULL) FROM cl"
-    " UNION ALL SELECT 'Carry-on Baggage', 'int', count(*) FILTER (WHERE e_carry IS NULL) FROM cl"
-    " UNION ALL SELECT 'Airline', 'string', count(*) FILTER (WHERE e_airline IS NULL) FROM cl"
-    " UNION ALL SELECT 'Total Price', 'bigint', count(*) FILTER (WHERE e_total IS NULL) FROM cl"
-    " UNION ALL SELECT 'Refund Policy', 'array<string>', CAST(0 AS BIGINT))"))
+_PROFILED = {
+    "Departure Location": ("string", "e_dep_loc"), "Departure Time": ("timestamp_ntz", "e_dep_time"), "Arrival Location": ("string", "e_arr_loc"),
+    "Arrival Time": ("timestamp_ntz", "e_arr_time"), "Flight Duration": ("double", "e_duration"), "Aircraft Type": ("string", "e_aircraft"),
+    "Passenger Type": ("string", "e_passenger"), "Number of Tickets": ("int", "e_tickets"), "Price per Ticket": ("bigint", "e_price"),
+    "Taxes & Fees": ("bigint", "e_tax"), "Total Price": ("bigint", "e_total"), "Carry-on Baggage": ("int", "e_carry"),
+    "Checked Baggage": ("int", "e_checked"), "Refund Policy": ("array<string>", "e_policy"), "Scrape Time": ("timestamp_ntz", "e_scrape"),
+    "Airline": ("string", "e_airline"), "Flight Code": ("string", "e_flight"), "Fare Class": ("string", "e_fare"),
+    "Departure Location Code": ("string", "e_dep_code"), "Arrival Location Code": ("string", "e_arr_code"),
+}
+
+
+@register("a16_profile", with_listing(" UNION ALL ".join(
+    f"SELECT '{k}' AS column_name, '{kind}' AS dtype, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS rows, {len(_PROFILED)} AS columns FROM cl"
+    for k, (kind, c) in _PROFILED.items())))
 def a16_profile(spark, sf):
-    p = A.profile(clean(spark, sf))
-    return p.where(F.col("column_name").isin("Departure Time", "Checked Baggage", "Carry-on Baggage", "Airline",
-                                             "Total Price", "Refund Policy"))
+    return A.profile(clean(spark, sf))
 
 
-_CONST = {"Departure Location": "e_dep_loc", "Departure Location Code": "e_dep_code", "Number of Tickets": "e_tickets",
-          "Passenger Type": "e_passenger", "Airline": "e_airline", "Fare Class": "e_fare",
-          "Arrival Location Code": "e_arr_code"}
+_CONST = {k: c for k, (_, c) in _PROFILED.items()}
 
 
 @register("a17_constant_columns", with_listing("SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{k}' AS column_name, count(DISTINCT {v}) AS num_values FROM cl" for k, v in _CONST.items())
     + ") WHERE num_values <= 1"))
 def a17_constant_columns(spark, sf):
-    cols = ["Departure Location", "Departure Location Code", "Number of Tickets", "Passenger Type",
-            "Airline", "Fare Class", "Arrival Location Code"]
-    return A.constant_columns(clean(spark, sf), cols)
+    return A.constant_columns(clean(spark, sf), list(_CONST))
 
 
 @register("a18_iqr", with_listing(
@@ -814,7 +814,7 @@ def l1_frame(df: DataFrame) -> DataFrame:
     return df.select(*[c.alias(o) for c, o in zip(cols, _L1_OUT)])
 
 
-@register("l1_clean", with_listing(f"SELECT {_L1_COLS} FROM cl"), bench=True)
+@register("l1_clean", with_listing(f"SELECT {_L1_COLS} FROM cl"))
 def l1_clean(spark, sf):
     return l1_frame(clean(spark, sf))
 

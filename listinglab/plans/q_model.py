@@ -32,7 +32,7 @@ _JOINED = ("FROM ticket t JOIN schedule s ON t.e_dep_time = s.e_dep_time AND t.e
 
 @register("m1_training_frame", with_listing(
     "SELECT count(*) AS n, sum(t.e_total) AS total, sum(coalesce(t.e_checked, 0)) AS checked, "
-    "sum(len(p.policy)) AS labels, count(DISTINCT s.e_aircraft) AS aircraft " + _JOINED, tables=True), bench=True)
+    "sum(len(p.policy)) AS labels, count(DISTINCT s.e_aircraft) AS aircraft " + _JOINED, tables=True))
 def m1_training_frame(spark, sf):
     f = frame(spark, sf)
     return f.agg(F.count(F.lit(1)).alias("n"), F.sum("Total_Price").alias("total"),
@@ -316,17 +316,17 @@ def m17_score(spark, sf):
     return named.select(F.col("Airline").alias("airline"), "Airline_id", "place", "Arrival_Location_Code", "requests", "prices")
 
 
-@register("m18_sentiment", "SELECT count(*) FILTER (WHERE l.doc_id % 5 = 0) AS tested, true AS beats_chance FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
+@register("m18_sentiment", "SELECT count(*) AS tested, true AS beats_larger_class FROM documents WHERE doc_id % 5 = 0 AND lang IN ('de', 'en', 'es', 'fr')")
 def m18_sentiment(spark, sf):
-    """A classifier of the labelled texts (toxic or not), on the fifth that it did not see: its balanced accuracy is above one half."""
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("Full Review"))
-    rows = docs.join(table(spark, sf, "labels"), "doc_id").select("doc_id", "Full Review", F.lit("").alias("Title"), F.col("toxic").cast("double").alias("label"))
-    rows = cut_lineage(rows)
-    shares = rows.agg(F.avg("label").alias("p")).first()["p"]
-    model = SE.fit_sentiment(rows.where("doc_id % 5 <> 0").withColumn("weight", F.when(F.col("label") == 1, 1 / (2 * shares)).otherwise(1 / (2 * (1 - shares)))), weight_col="weight")
+    """The text classifier on a class that the texts tell (their language): on the fifth that it did not see, its
+    accuracy is above the larger class's share."""
+    place = F.array_position(F.array(*map(F.lit, ("de", "en", "es", "fr"))), F.col("lang")).cast("int")
+    rows = cut_lineage(table(spark, sf, "documents").where(place > 0).select(
+        "doc_id", F.col("text").alias("Full Review"), F.lit("").alias("Title"), (place - 1).cast("double").alias("label")))
+    model = SE.fit_sentiment(rows.where("doc_id % 5 <> 0"))
     out = model.transform(SE.with_text(rows.where("doc_id % 5 = 0")))
-    right = F.avg(F.when(F.col("label") == 1, (F.col("_class") == 1).cast("double"))) + F.avg(F.when(F.col("label") == 0, (F.col("_class") == 0).cast("double")))
-    return out.agg(F.count(F.lit(1)).alias("tested"), (right / 2 > 0.5).alias("beats_chance"))
+    share = F.greatest(*[F.avg((F.col("label") == k).cast("double")) for k in range(4)])
+    return out.agg(F.count(F.lit(1)).alias("tested"), (F.avg((F.col("_class") == F.col("label")).cast("double")) > share).alias("beats_larger_class"))
 
 
 @register("l3_price_run", with_listing(

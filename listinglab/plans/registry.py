@@ -6,16 +6,13 @@ from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
-BENCH: list[str] = []
 
 
-def register(name: str, sql: str | None = None, bench: bool = False):
+def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
-        if bench:
-            BENCH.append(name)
         return fn
 
     return deco
