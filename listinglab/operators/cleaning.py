@@ -16,6 +16,10 @@ from ..functions.text import fold_name
 PRICE_COLUMNS = ["Price per Ticket", "Taxes & Fees", "Total Price"]
 REJECT_REASONS = "reject_reasons"
 
+#: Columns that the reject rules look at.
+JUDGED = [*PRICE_COLUMNS, "Departure Time", "Arrival Time", "Scrape Time", "Flight Duration", "Carry-on Baggage", "Checked Baggage",
+          "Departure Location", "Arrival Location", "Departure Location Code", "Arrival Location Code"]
+
 CLEAN_ORDER = [
     "Departure Location", "Departure Time", "Arrival Location", "Arrival Time",
     "Flight Duration", "Aircraft Type", "Passenger Type", "Number of Tickets",
@@ -214,21 +218,37 @@ def listing_rules(raw_prefix: str = "_raw_") -> dict[str, Column]:
     }
 
 
+def _judged(df: DataFrame) -> DataFrame:
+    """The parsers whose results the rules look at."""
+    return split_location(baggage(duration_hours(parse_times(clean_currency(df)))))
+
+
+def _unjudged(df: DataFrame) -> DataFrame:
+    """The other parsers."""
+    df = parse_policy(clean_aircraft(split_ticket(df)))
+    return df.withColumn("Number of Tickets", F.col("`Number of Tickets`").try_cast("int"))
+
+
 def clean_chain(df: DataFrame) -> DataFrame:
     """P1 -> P2 -> P3/P4 -> P6/P7 -> P8/P9 -> P10 -> P12, one projection."""
-    df = split_ticket(df)
-    df = clean_currency(df)
-    df = parse_times(df)
-    df = clean_aircraft(df)
-    df = duration_hours(df)
-    df = baggage(df)
-    df = parse_policy(df)
-    df = split_location(df)
-    return df.withColumn("Number of Tickets", F.col("`Number of Tickets`").try_cast("int"))
+    return _unjudged(_judged(df))
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
-    return clean_chain(raw.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in raw.columns}))
+    """Clean columns, raw columns (``_raw_``) and the reject reasons.
+
+    A filter on the reasons would be pushed below the projections of the
+    parsers, with every parser written out again as often as its parts are
+    referenced. So what the rules look at passes a row-preserving generator
+    (``inline`` of one struct), which a predicate does not cross: each of these
+    parsers runs once. All others come after it, and a query that does not
+    read them does not run them."""
+    kept = raw.withColumns({f"_raw_{c}": F.col(f"`{c}`") for c in raw.columns})
+    judged = _judged(kept).withColumn(REJECT_REASONS, reject_reasons(listing_rules()))
+    through = [c for c in judged.columns if c not in raw.columns and not c.startswith("_raw_")]
+    through += [c for c in JUDGED if c not in through]
+    rest = [F.col(f"`{c}`") for c in judged.columns if c not in through]
+    return _unjudged(judged.select(*rest, F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in through])))))
 
 
 def _clean_columns(raw_columns: Iterable[str]) -> list[str]:
@@ -237,17 +257,16 @@ def _clean_columns(raw_columns: Iterable[str]) -> list[str]:
 
 def clean_listings_split(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """L1 with reject routing: (clean rows, rejected raw rows + reasons)."""
-    valid, rejects = partition_rejects(_parsed(raw), listing_rules())
-    return (project(valid, _clean_columns(raw.columns)),
-            rejects.select(*[F.col(f"`_raw_{c}`").alias(c) for c in raw.columns], F.col(REJECT_REASONS)))
+    tagged = _parsed(raw)
+    return (project(tagged.where(F.col(REJECT_REASONS) == ""), _clean_columns(raw.columns)),
+            tagged.where(F.col(REJECT_REASONS) != "").select(*[F.col(f"`_raw_{c}`").alias(c) for c in raw.columns], F.col(REJECT_REASONS)))
 
 
 def tag_listings(raw: DataFrame) -> DataFrame:
     """L1 for one write: the clean columns, the raw ones of rejects, the
     reasons and ``is_reject`` (0 or 1) to partition by."""
     reasons = F.col(REJECT_REASONS)
-    tagged = _parsed(raw).withColumn(REJECT_REASONS, reject_reasons(listing_rules()))
-    return tagged.select(*[F.col(f"`{c}`") for c in _clean_columns(raw.columns)],
+    return _parsed(raw).select(*[F.col(f"`{c}`") for c in _clean_columns(raw.columns)],
                          *[F.when(reasons != "", F.col(f"`_raw_{c}`")).alias(f"_raw_{c}") for c in raw.columns],
                          reasons, (reasons != "").cast("int").alias("is_reject"))
 
