@@ -190,10 +190,10 @@ def train(background: list[str], common: float = COMMON) -> Model:
 
 
 def background(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = BACKGROUND) -> list[str]:
-    """Paragraphs without a licence word; at most ``rows``, each at most 2,000 characters of a line."""
+    """Paragraphs without a licence word; at most ``rows``, lines of at most 2,000 characters."""
     lines = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(text_col, "\n")).alias("line"))
-    plain = lines.where(~F.col("line").rlike(_LICENCE_WORD) & (F.length("line") > 0) & (F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0))
-    return [r.line for r in plain.select(F.substring("line", 1, 2000).alias("line")).limit(rows).collect()]
+    plain = lines.where(~F.col("line").rlike(_LICENCE_WORD) & F.length("line").between(1, 2000) & (F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0))
+    return [r.line for r in plain.select("line").limit(rows).collect()]
 
 
 def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
