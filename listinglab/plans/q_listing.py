@@ -558,7 +558,7 @@ def a8_baggage_by_fare(spark, sf):
 
 
 @register("a9_options", with_listing(
-    "SELECT section, count(*) AS n, count(DISTINCT key1) AS k1, count(DISTINCT key2) AS k2, count(item) AS items FROM ("
+    "SELECT section, key1, key2, item FROM ("
     " SELECT DISTINCT * FROM ("
     "  SELECT 'Departure Location' AS section, NULL AS key1, NULL AS key2, e_dep_loc AS item FROM cl"
     "  UNION ALL SELECT 'Arrival Location', NULL, NULL, e_arr_loc FROM cl"
@@ -572,15 +572,21 @@ def a8_baggage_by_fare(spark, sf):
     " UNION ALL SELECT DISTINCT 'Refund Policy', a, f, replace(l, '- ', '') FROM (SELECT e_airline AS a, e_fare AS f,"
     "  unnest(CASE WHEN len(e_policy) = 0 THEN [NULL::VARCHAR] ELSE e_policy END) AS l FROM cl)"
     " UNION ALL SELECT DISTINCT 'Baggage carry_on', e_airline, e_fare, CAST(e_carry AS VARCHAR) FROM cl"
-    " UNION ALL SELECT DISTINCT 'Baggage checked', e_airline, e_fare, CAST(e_checked AS VARCHAR) FROM cl"
-    ") GROUP BY section"))
+    " UNION ALL SELECT DISTINCT 'Baggage checked', e_airline, e_fare, CAST(e_checked AS VARCHAR) FROM cl)"))
 def a9_options(spark, sf):
-    c = clean(spark, sf)
-    rows = A.option_rows(c)
-    doc = A.options_document(c).first()[0]
-    assert doc.startswith("{")
-    return rows.groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("key1").alias("k1"),
-                                       F.count_distinct("key2").alias("k2"), F.count("item").alias("items"))
+    """Every choice of the options document, one row each."""
+    return A.option_rows(written(spark, sf)).select("section", "key1", "key2", "item")
+
+
+_PROFILED = {
+    "Departure Location": ("string", "e_dep_loc"), "Departure Time": ("timestamp_ntz", "e_dep_time"), "Arrival Location": ("string", "e_arr_loc"),
+    "Arrival Time": ("timestamp_ntz", "e_arr_time"), "Flight Duration": ("double", "e_duration"), "Aircraft Type": ("string", "e_aircraft"),
+    "Passenger Type": ("string", "e_passenger"), "Number of Tickets": ("int", "e_tickets"), "Price per Ticket": ("bigint", "e_price"),
+    "Taxes & Fees": ("bigint", "e_tax"), "Total Price": ("bigint", "e_total"), "Carry-on Baggage": ("int", "e_carry"),
+    "Checked Baggage": ("int", "e_checked"), "Refund Policy": ("array<string>", "e_policy"), "Scrape Time": ("timestamp_ntz", "e_scrape"),
+    "Airline": ("string", "e_airline"), "Flight Code": ("string", "e_flight"), "Fare Class": ("string", "e_fare"),
+    "Departure Location Code": ("string", "e_dep_code"), "Arrival Location Code": ("string", "e_arr_code"),
+}
 
 
 _PROFILE_COLS = ["Aircraft Type", "Carry-on Baggage", "Checked Baggage", "Airline", "Fare Class", "Flight Code"]
@@ -590,15 +596,15 @@ _EPROF = {"Aircraft Type": "e_aircraft", "Carry-on Baggage": "e_carry", "Checked
 
 @register("a11_missing_ratio", with_listing(" UNION ALL ".join(
     f"SELECT '{k}' AS column_name, round(avg(CASE WHEN {v} IS NULL THEN 1 ELSE 0 END) * 100, 1) AS missing_ratio FROM cl"
-    for k, v in _EPROF.items())))
+    for k, (_, v) in _PROFILED.items())))
 def a11_missing_ratio(spark, sf):
-    return A.missing_ratio(clean(spark, sf), _PROFILE_COLS)
+    return A.missing_ratio(clean(spark, sf), list(_PROFILED))
 
 
 @register("a12_num_values", with_listing(" UNION ALL ".join(
-    f"SELECT '{k}' AS column_name, count(DISTINCT {v}) AS num_values FROM cl" for k, v in _EPROF.items())))
+    f"SELECT '{k}' AS column_name, count(DISTINCT {v}) AS num_values FROM cl" for k, (_, v) in _PROFILED.items())))
 def a12_num_values(spark, sf):
-    return A.num_values(clean(spark, sf), _PROFILE_COLS)
+    return A.num_values(clean(spark, sf), list(_PROFILED))
 
 
 @register("a13_value_ratios", with_listing(
@@ -631,17 +637,6 @@ def a15_duplicates(spark, sf):
     return A.duplicate_count(clean(spark, sf))
 
 
-_PROFILED = {
-    "Departure Location": ("string", "e_dep_loc"), "Departure Time": ("timestamp_ntz", "e_dep_time"), "Arrival Location": ("string", "e_arr_loc"),
-    "Arrival Time": ("timestamp_ntz", "e_arr_time"), "Flight Duration": ("double", "e_duration"), "Aircraft Type": ("string", "e_aircraft"),
-    "Passenger Type": ("string", "e_passenger"), "Number of Tickets": ("int", "e_tickets"), "Price per Ticket": ("bigint", "e_price"),
-    "Taxes & Fees": ("bigint", "e_tax"), "Total Price": ("bigint", "e_total"), "Carry-on Baggage": ("int", "e_carry"),
-    "Checked Baggage": ("int", "e_checked"), "Refund Policy": ("array<string>", "e_policy"), "Scrape Time": ("timestamp_ntz", "e_scrape"),
-    "Airline": ("string", "e_airline"), "Flight Code": ("string", "e_flight"), "Fare Class": ("string", "e_fare"),
-    "Departure Location Code": ("string", "e_dep_code"), "Arrival Location Code": ("string", "e_arr_code"),
-}
-
-
 @register("a16_profile", with_listing(" UNION ALL ".join(
     f"SELECT '{k}' AS column_name, '{kind}' AS dtype, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS rows, {len(_PROFILED)} AS columns FROM cl"
     for k, (kind, c) in _PROFILED.items())))
