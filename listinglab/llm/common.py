@@ -95,9 +95,9 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
-def packed(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(key, row): the id and the whole row as one struct."""
-    return docs.select(F.col(id_col).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+def packed(docs: DataFrame, id_col: str, tag: Column) -> DataFrame:
+    """(key, tag, row): the id, a hash of the text that tells rows of one id apart, and the whole row as one struct."""
+    return docs.select(F.col(id_col).alias("key"), tag.alias("tag"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
 
 def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:

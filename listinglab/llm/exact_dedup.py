@@ -70,7 +70,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The documents without exact copies; whole rows, all columns."""
     columns = docs.columns
-    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select(F.col("doc_id").alias("key")).distinct()
-    whole = packed(docs, id_col)
-    rows = whole.join(kept, whole["key"].eqNullSafe(kept["key"]), "left_semi")
-    return unpacked(rows, columns).dropDuplicates([id_col])
+    kept = exact_groups(docs, id_col, text_col, keep).where("kept").select("doc_id", "text_sha256").distinct()
+    whole = packed(docs, id_col, F.sha2(ascii_lower(F.col(text_col)), 256))
+    rows = whole.join(kept, whole["key"].eqNullSafe(kept["doc_id"]) & (whole["tag"] == kept["text_sha256"]), "left_semi")
+    return unpacked(rows.dropDuplicates(["key", "tag"]), columns)

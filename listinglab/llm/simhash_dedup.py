@@ -38,7 +38,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,16 +66,20 @@ def fingerprint(body: bytes, size: int = SHINGLE) -> int:
     return sum(1 << bit for bit in np.flatnonzero(2 * counts > len(values)).tolist())
 
 
+def _tag(body: Column) -> Column:
+    return F.xxhash64(body)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """Per row: doc_id, fp (the 64 bits as a signed long)."""
-    source = texts(docs, id_col, text_col)
+    """Per row: doc_id, fp (the 64 bits as a signed long), tag (hash of the text)."""
+    source = texts(docs, id_col, text_col).withColumn("tag", _tag(F.col("body")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values = np.array([fingerprint(b, size) for b in batch.column("body").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64)), batch.column("tag")], names=["doc_id", "fp", "tag"])
 
-    return source.mapInArrow(run, T.StructType([source.schema["doc_id"], T.StructField("fp", T.LongType())]))
+    return source.mapInArrow(run, T.StructType([source.schema["doc_id"], T.StructField("fp", T.LongType()), T.StructField("tag", T.LongType())]))
 
 
 def _quarters(fps: np.ndarray) -> np.ndarray:
@@ -197,7 +201,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     radius: int = RADIUS) -> DataFrame:
-    """Per row: doc_id, fp (long), component_id (smallest id that links reach)."""
+    """Per row: doc_id, fp (long), component_id (smallest id that links reach), tag (hash of the text)."""
     rows = save(fingerprints(docs, id_col, text_col, size), "simhash-rows")
     groups = save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
     stars = components(links(groups, radius), "simhash-links")
@@ -207,15 +211,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = save(roots, "simhash-roots")
     names = save(roots.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
     named = save(roots.join(names, "root").select("fp", "component_id"), "simhash-named")
-    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id", "tag")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                      radius: int = RADIUS) -> DataFrame:
-    """One document of each component, that with its smallest id; whole rows, all columns. Rows without an id stay."""
+    """One document of each component, that with its smallest id; whole rows, all columns. Rows without an id stay,
+    and so does each text of an id that leads its component."""
     columns = docs.columns
-    leads = near_duplicates(docs, id_col, text_col, size, radius).where("doc_id = component_id").select(
-        F.col("doc_id").alias("key")).distinct()
-    whole = packed(docs, id_col)
-    stay = unpacked(whole.where("key IS NOT NULL").join(leads, "key", "left_semi"), columns).dropDuplicates([id_col])
-    return stay.unionByName(docs.where(F.col(id_col).isNull()))
+    leads = near_duplicates(docs, id_col, text_col, size, radius).where("doc_id = component_id").select("doc_id", "tag").distinct()
+    whole = packed(docs, id_col, _tag(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
+    stay = whole.join(leads, (whole["key"] == leads["doc_id"]) & (whole["tag"] == leads["tag"]), "left_semi")
+    return unpacked(stay.dropDuplicates(["key", "tag"]), columns).unionByName(docs.where(F.col(id_col).isNull()))

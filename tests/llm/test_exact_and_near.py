@@ -109,3 +109,10 @@ def test_a_group_of_near_copies_gives_few_links():
 def test_components_of_a_long_chain(spark):
     links = spark.range(60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r.u: r.v for r in components.components(links).collect()} == dict.fromkeys(range(1, 61), 0)
+
+
+def test_texts_of_one_id_or_of_none_are_all_kept(spark):
+    words = [" ".join(f"{a}{k}" for k in range(30)) for a in "abcd"]
+    docs = spark.createDataFrame([(5, words[0]), (5, words[1]), (5, words[1]), (None, words[2]), (None, words[3]), (7, words[0])], "doc_id long, text string")
+    assert sorted(r.text for r in exact_dedup.drop_copies(docs).collect()) == sorted(words)
+    assert sorted(r.text for r in simhash_dedup.drop_near_copies(docs).collect()) == sorted(words)
