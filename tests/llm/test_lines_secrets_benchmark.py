@@ -46,6 +46,12 @@ def test_repeated_chunks_of_hard_cases(messy, messy_rows, bits):
     assert any(t is not None and n != t for (_, n), (_, t) in zip(sorted(brute_lines(rows), key=str), sorted(rows, key=str), strict=False))
 
 
+def test_line_hashes_that_collide(messy, messy_rows):
+    """Hashes of four bits: the chunks' whole bytes decide."""
+    out = line_dedup.drop_repeated_chunks(messy, unit_bits=4)
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == brute_lines([(i, t) for i, t, _ in messy_rows])
+
+
 def test_boundaries_resist_shifts():
     passage = "\n".join(f"line {k} of a passage that stands in several documents" for k in range(20))
     one = {c for _, _, c in line_dedup.chunks(passage.encode())}
@@ -53,6 +59,24 @@ def test_boundaries_resist_shifts():
     assert len(one & two) >= len(one) - 2
 
 
+def test_planted_passages_go_whole(spark):
+    """Passages of 2 to 8 sentences or lines in two documents with different neighbours: no unit of the second copy stays."""
+    rows, want = [], []
+    for k in range(70):
+        n, space, near = 2 + k % 7, " " if k % 2 else "\n", [" ".join(f"n{k}x{j}y{w}" for w in range(9 + j % 3)) + "." for j in range(44)]
+        passage = space.join(" ".join(f"p{k}x{j}y{w}" for w in range(2 if j > 1 else 9)) + "." for j in range(n))
+        for at, (a, b, c, d) in enumerate([(0, k % 9, 20, 24), (9, 10 + k % 10, 30, 35 + k % 8)]):
+            head, tail = space.join(near[a:b]), space.join(near[c:d])
+            rows.append((2 * k + at, space.join(filter(None, [head, passage, tail]))))
+            want.append((2 * k + at, rows[-1][1] if not at else head + space + tail))
+    for k in range(0, len(rows), 2):  # sentences are units of long lines only
+        assert k // 2 % 2 == 0 or min(rows[k][1].count(" "), rows[k + 1][1].count(" ")) >= line_dedup.LONG_LINE
+    got = line_dedup.drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()
+    assert {r.doc_id: r.text for r in got} == dict(want)
+    before = dict(rows)
+    assert all(r.bytes_removed == len(before[r.doc_id]) - len(r.text) for r in got)
+
+
 def test_line_dedup_against_brute_force(spark, sf, small_documents):
     got = Counter((r.doc_id, r.text) for r in QUERIES["op5_line_dedup"](spark, sf).collect())
     assert got == brute_lines(small_documents)
