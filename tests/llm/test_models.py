@@ -157,6 +157,26 @@ def test_kneser_ney_adds_up():
         assert sum(p(history, c) for c in alphabet) + p(history, "一") == pytest.approx(1, abs=1e-6)
 
 
+def test_smaller_language_models_keep_exact_statistics(spark):
+    """A cut model: a rare language keeps its grams, and the discounts and totals are those of all rows."""
+    rng = np.random.default_rng(3)
+    hot = [" ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(60)) + " " + chr(0x4E00 + k) for k in range(40)]
+    rows = [*[("en", t.encode()) for t in hot], ("xx", "žluťoučký kůň".encode())]
+    train = spark.createDataFrame([(k, b, x) for k, (x, b) in enumerate(rows)], "doc_id long, body binary, lang string")
+    whole, few = language_id.fit(train), language_id.fit(train, grams=400)
+    assert few.languages == whole.languages == ["en", "xx"]
+    assert sum(len(g) for g, _ in few.grams[1:]) <= 400 < sum(len(g) for g, _ in whole.grams[1:])
+    alphabet = len({c for _, b in rows for c in b.decode()} | {" "}) + 1
+    for model in (whole, few):
+        keys, logs = model.grams[1]
+        assert np.allclose(np.exp(logs).sum(axis=0) + (alphabet - len(keys)) * np.exp(model.unseen), 1)
+    at, known = chargrams.find(whole.grams[1][0], few.grams[1][0])
+    # The first order's counts are kinds of characters: what each gram holds besides the back-off share does not change.
+    own = [np.exp(m.grams[1][1][k]) - np.exp(m.unseen) for m, k in ((whole, at), (few, slice(None)))]
+    assert known.all() and np.allclose(own[0], own[1])
+    assert few.words(["žluťoučký"])[0, 1] == pytest.approx(whole.words(["žluťoučký"])[0, 1])
+
+
 # Operator 1
 
 @pytest.fixture(scope="module")
