@@ -13,7 +13,8 @@ from ..operators.joins import ticket_policy, ticket_schedule
 from ..operators.normalize import normalize
 from ..schemas import POLICY_KEY, SCHEDULE_KEY
 from . import q_listing as QL
-from .oracle import with_listing
+from . import q_reviews as QR
+from .oracle import with_listing, with_reviews
 from .registry import register
 from ..session import cut_lineage, table
 
@@ -329,6 +330,18 @@ def m18_sentiment(spark, sf):
     return out.agg(F.count(F.lit(1)).alias("tested"), (F.avg((F.col("_class") == F.col("label")).cast("double")) > share).alias("beats_larger_class"))
 
 
+@register("m18b_enrich", with_reviews(
+    "SELECT count(*) AS reviews, count(*) AS enriched, true AS named, count(*) AS by_hook FROM rk"))
+def m18b_enrich(spark, sf):
+    """A model of the star ratings (five classes) gives every valid review its Sentiment, and so does the hook for other models."""
+    valid = cut_lineage(QR.review_valid(spark, sf))
+    model = SE.fit_sentiment(valid.where(F.col("Rating").isNotNull()).withColumn("label", F.col("Rating") - 1))
+    out = SE.enrich_sentiment(valid, model)
+    hook = SE.enrich_with_udf(valid, lambda texts: texts.str.len() % 5).agg(F.count("Sentiment").alias("by_hook"))
+    named = F.bool_and(F.col("Sentiment").isin("Negative", "Neutral", "Positive"))
+    return out.agg(F.count(F.lit(1)).alias("reviews"), F.count("Sentiment").alias("enriched"), named.alias("named")).crossJoin(hook)
+
+
 @register("l3_price_run", with_listing(
     f"SELECT (SELECT count(*) FROM ticket WHERE e_scrape > {QL._CUT} OR e_scrape IS NULL) AS tickets, 5 AS models, true AS saved", tables=True))
 def l3_price_run(spark, sf):

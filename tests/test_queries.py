@@ -123,3 +123,7 @@ def test_no_nan(spark, registry):
     queries, _ = registry
     r = queries["m4_zscore"](spark, SF).collect()
     assert all(not (isinstance(v, float) and math.isnan(v)) for row in r for v in row)
+
+
+def test_every_valid_review_gets_its_sentiment(spark, con, registry):
+    test_query_matches_oracle(spark, con, registry, "m18b_enrich")
