@@ -20,7 +20,7 @@ loss over all data and noise pairs, a matrix product per step.
 Scoring. A worker makes the normalised log-probabilities of all contexts from
 the vectors by one batched matrix product, and looks the tokens up. Counts of
 the ``HEAD`` most frequent words go along (a bound by count: the least count
-at which at most so many words remain). Other words leave the scan as rows
+at which at most so many words remain, but the shortlist at least). Other words leave the scan as rows
 (row, word, number), meet the counts in a join on the word, and their sums
 return by row. Nothing of unbounded size is collected or broadcast.
 
@@ -193,6 +193,9 @@ def fit(train: DataFrame, short: int = SHORTLIST, head: int = HEAD) -> tuple[Mod
             held = -1
         single, double = (row.n, double) if row.c == 1 else (single, row.n if row.c == 2 else double)
     rows = counted.where(F.col("c") >= least).collect()
+    if len(rows) < min(short, head):  # more words of one count than the head takes: the first of them in order
+        tied = counted.where(F.col("c") < least).orderBy(F.desc("c"), "word").limit(min(short, head) - len(rows))
+        rows += tied.collect()
     rows.sort(key=lambda r: (-r.c, bytes(r.word)))
     vocabulary, counts = [bytes(r.word) for r in rows], np.array([r.c for r in rows], np.int64)
     short = min(short, len(rows))
@@ -247,7 +250,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     model, counted = fit(source.where("NOT held_out").select("body"), short, head)
     rows = save(_scan(source, model), "lm-rows")
     tail = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
-    others = counted if not len(model.counts) else counted.where(F.col("c") < int(model.counts.min()))
+    others = counted
+    if model.words:  # by falling count, then in order
+        least, last = int(model.counts[-1]), bytearray(model.words[-1])
+        others = counted.where((F.col("c") < least) | ((F.col("c") == least) & (F.col("word") > F.lit(last))))
     c = F.coalesce("c", F.lit(0))
     base = F.log10(c + 1) - F.log10(F.lit(float(model.tokens + model.types + 1)))
     free, one = (float(x) for x in model.in_rare(np.array([0, 1])))

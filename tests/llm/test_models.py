@@ -94,6 +94,15 @@ def test_noise_contrastive_estimation_finds_the_distribution():
     assert loss < 1.05 * -(counts * np.log(np.maximum(truth, 1e-12))).sum() / counts.sum()
 
 
+def test_language_model_of_words_with_one_count(spark):
+    """More words tie at the highest count than the head takes: the shortlist is full all the same, and each word counts once."""
+    rows = [(k, " ".join(f"w{j:02}" for j in range(30))) for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, _ = lm_score.fit(texts(docs).select("body"), short=5, head=10)
+    assert model.words == [b"w00", b"w01", b"w02", b"w03", b"w04"] and model.short == 5
+    same_base(lm_score.score(docs, lm_score.fold(), short=5, head=10).collect(), brute_base(rows, 7, 2))
+
+
 def test_language_model_without_training_texts(messy, empty):
     got = lm_score.score(messy, F.lit(True)).collect()
     assert len(got) == messy.count() and {r.train_tokens for r in got} == {0} and all(math.isfinite(r.score) for r in got)
