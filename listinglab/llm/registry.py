@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listinglab.llm import decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, secrets, sentencepiece_codec, simhash_dedup, toxicity
+from listinglab.llm import (
+    decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, period_runs, secrets, sentencepiece_codec, simhash_dedup,
+    toxicity, whitening,
+)
 from listinglab.llm.common import table
 
 
@@ -53,6 +57,34 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that ``op12_period_runs`` searches: a tenth of the documents end in a repeated stretch (fixed rule)."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = period_runs.scan(table(spark, sf_dir, "documents"), prepare=repeated_tail)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get(F.col("runs"), F.lit(0)),
+        lambda acc, r: F.when(r["length"] * acc["period"] > acc["length"] * r["period"], r).otherwise(acc))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", line).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_lm_score": op2_lm_score,
@@ -64,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_decontaminate": op10_decontaminate,
+    "op12_period_runs": op12_period_runs,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
