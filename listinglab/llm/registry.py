@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listinglab.llm import (
-    decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, period_runs, secrets, sentencepiece_codec, simhash_dedup,
+    decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_score, page_text, period_runs, secrets, sentencepiece_codec, simhash_dedup,
     toxicity, whitening,
 )
 from listinglab.llm.common import table
@@ -57,6 +57,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words that ``op12_period_runs`` searches: a tenth of the documents end in a repeated stretch (fixed rule)."""
     h, n = zlib.crc32(str(doc_id).encode()), len(words)
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_decontaminate": op10_decontaminate,
+    "op11_page_text": op11_page_text,
     "op12_period_runs": op12_period_runs,
     "op13_whitening": op13_whitening,
 }
