@@ -90,6 +90,8 @@ ROOT = Place("#", 0, 0, (0,), 0)
 #: Elements seen before by (parent, name, names in attributes); a worker's memory, emptied when full.
 _known: dict[tuple, Place] = {}
 KNOWN = 50_000
+#: Open elements, as in browsers; those nested deeper count as their parent.
+DEPTH = 512
 
 
 def name64(*parts: object) -> int:
@@ -138,6 +140,9 @@ def _new_place(parent: Place, name: str, named: list[tuple[str, str, str, str]])
     if name == "h1":
         marks |= TITLE
     if name not in BLOCK:
+        if marks & AROUND and not parent.marks & AROUND:
+            # A part of a line, within a block that stays.
+            marks |= GONE
         return Place(name, parent.path, parent.box, parent.boxes, marks)
     # Digits in class and id names number single pages: they are no part of a path.
     signs = [re.sub(r"\d+", "#", values.get(c, "").strip()) for c in ("class", "id")]
@@ -266,6 +271,7 @@ def blocks(page: str) -> list[Block]:
         named = _NAMED.findall(attributes) if "=" in attributes else []
         if name == "a":
             _close(stack, "a")
-        stack.append(_place(stack[-1], name, named))
+        if len(stack) < DEPTH:
+            stack.append(_place(stack[-1], name, named))
     flush()
     return out
