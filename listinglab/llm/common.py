@@ -34,11 +34,11 @@ BATCH_ROWS = 256
 BATCH_BYTES = 8 << 20
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder of the shared work area and read it back."""
+def save(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to a fresh folder of the shared work area and read it back. ``options``: of the Parquet writer."""
     spark = df.sparkSession
     path = work_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,8 +33,9 @@ Plan. One scan parses pages into a written table of blocks (text, path and box
 as 64-bit names). One shuffle of names keeps one row of each different page;
 tokens are then summed by (host, token), classes and boxes follow from small
 rows. A host's result has at most 1 / ``SHARE`` constant boxes for each box of
-a page; it is joined to the pages by host, where Spark broadcasts it, or
-shuffles and splits a hot host.
+a page, and none where nothing was deduced. It is written first, so that Spark
+knows its size when it joins it to the pages by host: small, it is broadcast
+and no page moves; large, both are shuffled and a hot host is split.
 
 Edge cases. Null or empty HTML, and HTML without text, give the empty text.
 Pages without a host (a null or malformed URL) and hosts of few pages have no
@@ -55,7 +56,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listinglab.llm import page_tree
-from listinglab.llm.common import save, ship, slices
+from listinglab.llm.common import drop, save, ship, slices
 from listinglab.llm.page_tree import AROUND, ARTICLE, MAIN, TITLE, Block
 
 #: Least different pages of a class, and least share of the host's different pages.
@@ -148,7 +149,8 @@ def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
                 [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(columns, arrow, strict=True))], schema.names)
 
     ship(pages.sparkSession)
-    return save(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(parse, schema), "pages")
+    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return save(source.mapInArrow(parse, schema), "pages", compression="zstd")
 
 
 def _arrow_types() -> list[pa.DataType]:
@@ -200,7 +202,11 @@ def article_boxes(parsed: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars): the main text of every page."""
     parsed = _pages(pages, id_col, url_col, html_col)
-    known = parsed.join(constant_boxes(occurrence_vectors(parsed)), "host", "left").join(article_boxes(parsed), "host", "left")
+    vectors = occurrence_vectors(parsed)
+    # Written first: Spark knows its size before it moves any page.
+    template = save(constant_boxes(vectors).join(article_boxes(parsed), "host", "full"), "template")
+    drop(vectors)
+    known = parsed.join(template, "host", "left")
     # The host's box where the page has it.
     article = F.when(F.exists("blocks", lambda b: F.array_contains(b["boxes"], F.col("article"))), F.col("article")).otherwise(F.col("own_box"))
     inside = known.withColumn("article", article).withColumn(
