@@ -46,14 +46,19 @@ def labelled_sentiment(df: DataFrame) -> DataFrame:
 # ===================================================================== sources
 
 @register("s2_read_reviews", with_reviews(
-    "SELECT source AS airline, count(*) AS n, sum(length(text)) AS chars FROM rv GROUP BY ALL"))
+    "SELECT source AS airline, CASE WHEN e_rating IS NULL THEN 'no rating' ELSE CAST(CAST(e_rating AS INTEGER) AS VARCHAR) || '.0 of 5 bubbles' END "
+    "AS rating, coalesce(title, '') AS title, sha256(coalesce(text, '')) AS review, doc_id % 4 = 0 AS no_services, count(*) AS n FROM rv GROUP BY ALL"))
 def s2_read_reviews(spark, sf):
+    """Every review written as multi-line CSV, a folder an airline, and read back in splits: whole rows."""
     path = work_path(spark, "reviews-csv")
     r = reviews(spark, sf).select("Rating", "Title", "Full Review", "Information", "Service Ratings", "Airline")
-    r.write.partitionBy("Airline").option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    back = S.read_reviews(spark, path).withColumn(
-        "airline", F.regexp_extract(F.col("_metadata.file_path"), r"Airline=([^/]+)", 1))
-    return back.groupBy("airline").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("Full Review")).alias("chars"))
+    (r.write.partitionBy("Airline").option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    back = S.read_reviews(spark, path)
+    airline = F.url_decode(F.regexp_extract("source_path", r"Airline=([^/]+)", 1))
+    return back.groupBy(airline.alias("airline"), F.col("Rating").alias("rating"), F.coalesce("Title", F.lit("")).alias("title"),
+                        F.sha2(F.coalesce("Full Review", F.lit("")).cast("binary"), 256).alias("review"),
+                        _q("Service Ratings").isNull().alias("no_services")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("s3_read_info", with_info(
