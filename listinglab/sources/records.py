@@ -24,7 +24,7 @@ inside an unquoted field is outside that form. Lines end with ``\\n`` or
 ``\\r\\n`` (then line breaks inside fields are read as ``\\n``, but in a last
 record without its line end); empty lines between records are skipped; each file has a header;
 a byte-order mark is skipped; a quote that is never closed reaches to the end
-of its file. Encodings must keep ASCII bytes (UTF-8 does).
+of its file (without the last line end). Encodings must keep ASCII bytes (UTF-8 does).
 """
 
 from __future__ import annotations
