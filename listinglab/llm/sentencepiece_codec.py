@@ -14,6 +14,12 @@ non-blank. No piece of a BPE model with whitespace splitting holds such a
 place (checked when the model is read), so the parts' ids put together are the
 text's; other models get whole texts.
 
+Memory. What a worker holds is bounded by characters, not by rows: a call of
+the tokenizer gets parts of ``CALL`` characters together (many short texts, or
+a piece of a long one), its encodings are turned into ids, decoded, compared
+and dropped before the next call, and rows leave in batches of ``OUT`` bytes of
+text or one row. The tokenizer's own cache of words is off: parts hardly repeat.
+
 The model's path is a parameter, read on the driver; its bytes (at most
 ``MODEL_BYTES``) are broadcast. Decoding turns pieces back to bytes, the
 marker to a blank, and takes the dummy prefix away.
@@ -35,6 +41,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,8 +52,10 @@ from listinglab.llm.common import ship, slices, texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_BYTES = 64 << 20
 THREADS = 2
-#: Characters in a part of a long text.
-PART = 8192
+#: Characters in a part of a long text, and of the parts in one call.
+PART, CALL = 8192, 1 << 18
+#: Bytes of text in a batch of rows.
+OUT = 2 << 20
 MARK = "▁"
 
 # Fixed values of the file format: piece types and model types.
@@ -141,7 +150,7 @@ class Codec:
         if m.kind == UNIGRAM:
             core = models.Unigram(list(zip(m.pieces, m.scores, strict=True)), m.unknown, m.byte_fallback)
         else:
-            core = models.BPE(ids, self._merges(), unk_token=m.pieces[m.unknown], fuse_unk=True, byte_fallback=m.byte_fallback)
+            core = models.BPE(ids, self._merges(), unk_token=m.pieces[m.unknown], fuse_unk=True, byte_fallback=m.byte_fallback, cache_capacity=0)
         self.tokenizer = Tokenizer(core)
         steps = [normalizers.Precompiled(m.charsmap)] if m.charsmap else []
         if m.trim:
@@ -166,17 +175,38 @@ class Codec:
             return ""
         return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
 
-    def encode(self, texts_: list[str]) -> list[np.ndarray]:
+    def encode(self, texts_: Iterable[str]) -> list[np.ndarray]:
+        return [ids for ids, _ in self.encoded(texts_)]
+
+    def encoded(self, texts_: Iterable[str]) -> list[tuple[np.ndarray, bool]]:
+        """The ids of each text, and whether they decode to the normalised text."""
+        ids: list[list[np.ndarray]] = []
+        same: list[bool] = []
         parts: list[str] = []
         owner: list[int] = []
+
+        def call() -> None:
+            for k, part, e in zip(owner, parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
+                own = e.ids
+                ids[k].append(np.array(own, np.int32))
+                same[k] = same[k] and b"".join(map(self.bytes.__getitem__, own)).decode("utf-8", "replace") == part.replace(MARK, " ")
+            parts.clear()
+            owner.clear()
+
+        held = 0
         for k, text in enumerate(map(self.normal, texts_)):
+            ids.append([])
+            same.append(True)
             for part in self._parts(text):
+                if held + len(part) > CALL and parts:
+                    call()
+                    held = 0
                 parts.append(part)
                 owner.append(k)
-        out: list[list[np.ndarray]] = [[] for _ in texts_]
-        for k, e in zip(owner, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            out[k].append(np.array(e.ids, np.int32))
-        return [np.concatenate(x) if x else np.empty(0, np.int32) for x in out]
+                held += len(part)
+        if parts:
+            call()
+        return [(np.concatenate(x) if x else np.empty(0, np.int32), ok) for x, ok in zip(ids, same, strict=True)]
 
     def _parts(self, text: str) -> Iterator[str]:
         at = 0
@@ -192,11 +222,6 @@ class Codec:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
-    def expected(self, text: str) -> str:
-        """What the ids of a text decode to when nothing is lost."""
-        text = self.normal(text).replace(MARK, " ")
-        return text[1:] if self.model.dummy_prefix else text
-
 
 _CUT = re.compile(f"[^{MARK}](?={MARK})")
 _READY: dict[tuple[bytes, int], Codec] = {}
@@ -227,6 +252,17 @@ def _model_bytes(path: str) -> bytes:
     return data
 
 
+def _sized(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``OUT`` bytes of text, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("body")).to_numpy(zero_copy_only=False).astype(np.int64))
+        at, before = 0, 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, before + OUT, "right")))
+            yield batch.slice(at, stop - at)
+            at, before = stop, int(ends[stop - 1])
+
+
 ENCODED = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType())),
            T.StructField("round_trip", T.BooleanType())]
 
@@ -238,10 +274,9 @@ def encode(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", tex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(held.value, threads)
-        for batch in slices(batches, 64):
-            bodies = [b.decode("utf-8", "replace") for b in batch.column("body").to_pylist()]
-            ids = tool.encode(bodies)
-            same = [tool.decode(i.tolist()) == tool.expected(t) for i, t in zip(ids, bodies, strict=True)]
+        for batch in _sized(slices(batches)):
+            found = tool.encoded(b.as_py().decode("utf-8", "replace") for b in batch.column("body"))
+            ids, same = [i for i, _ in found], [ok for _, ok in found]
             sizes = [len(i) for i in ids]
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32))

@@ -1,5 +1,8 @@
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 import sentencepiece
@@ -44,6 +47,38 @@ def test_long_texts_in_parts(data, library, monkeypatch):
         assert codec.encode([text])[0].tolist() == library.encode(text)
 
 
+def test_calls_are_bounded_by_characters(data, library, monkeypatch):
+    """Many calls for one text, several texts in one call: the ids stay the library's."""
+    monkeypatch.setattr(sentencepiece_codec, "PART", 40)
+    monkeypatch.setattr(sentencepiece_codec, "CALL", 100)
+    codec = sentencepiece_codec.codec(data)
+    made = ["", "several words in one " * 40, "a", "", "x" * 300, "naïve 日本語 \U0001f600 " * 20, "b c"]
+    assert [(x.tolist(), ok) for x, ok in codec.encoded(made)] == [(x, True) for x in library.encode(made)]
+
+
+MEMORY = """
+import resource, sys
+from listinglab.llm import sentencepiece_codec as s
+tool = s.codec(s._model_bytes(s.MODEL))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+text = " ".join(f"word{k % 9973} some more of it, and {k}" for k in range(35000))
+assert len(text) > 1_000_000
+for _ in range(6):
+    assert all(ok for _, ok in tool.encoded([text, text]))
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def test_texts_of_a_megabyte_stay_small_in_memory(spark):
+    """Twelve texts of over a megabyte each: the worker grows by less than 150 MB."""
+    done = subprocess.run([sys.executable, "-c", MEMORY], capture_output=True, text=True, cwd=Path(__file__).parents[2])
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 150, done.stdout
+    long = " ".join(f"word{k % 977} and {k}" for k in range(80_000))
+    table_ = spark.createDataFrame([(k, long) for k in range(8)], "doc_id long, text string")
+    assert {(r.n_tokens > 100_000, r.round_trip) for r in sentencepiece_codec.encode(table_).select("n_tokens", "round_trip").collect()} == {(True, True)}
+
+
 def model_of(kind, pieces, fallback):
     """A model file put together by hand (nothing is trained)."""
     from sentencepiece import sentencepiece_model_pb2 as pb
