@@ -37,8 +37,10 @@ ls AS (
     1 + l_linenumber % 3 AS dur_h,
     l_partkey % 60 AS dur_m,
     o_orderdate + to_days(CAST(2 - l_partkey % 40 AS INTEGER)) + to_hours(CAST(l_suppkey % 24 AS BIGINT)) AS scrape_ts,
-    CAST(round(l_extendedprice) AS BIGINT) AS price0,
-    (CAST(round(l_extendedprice) AS BIGINT) * CAST(round(l_tax * 100) AS BIGINT)) // 100 AS tax0,
+    CAST(round(l_extendedprice / 10) AS BIGINT) + 20000 * (1 + l_linenumber % 3) + 150 * (l_partkey % 60)
+      + CASE WHEN l_suppkey % 3 = 0 THEN 400 * (20 + 5 * (l_partkey % 3)) ELSE 0 END
+      + CASE l_returnflag WHEN 'A' THEN 3000 WHEN 'N' THEN 9000 ELSE 0 END + 500 * n_nationkey AS price0,
+    (price0 * CAST(round(l_tax * 100) AS BIGINT)) // 100 AS tax0,
     'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS arr_code0,
     l_returnflag || l_linestatus AS fare0
   FROM lb2

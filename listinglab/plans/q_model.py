@@ -218,17 +218,39 @@ def m12_ridge(spark, sf):
     return spark.createDataFrame(rows, "alpha double, slope double, intercept double")
 
 
-_FOLDS = ("f AS (SELECT k, alpha, regr_sxy(y, x) / (regr_sxx(y, x) + alpha) AS b, avg(x) AS mx, avg(y) AS my FROM xy, "
-          "(SELECT unnest(range(5)) AS k), (VALUES (0.0), (1.0)) AS v(alpha) WHERE fold <> k GROUP BY k, alpha), "
-          "e AS (SELECT k, alpha, sum((y - my - b * (x - mx)) * (y - my - b * (x - mx))) AS sse, var_pop(y) * count(*) AS sst, count(*) AS n "
-          "FROM xy JOIN f ON xy.fold = f.k GROUP BY k, alpha)")
+# Two features and a label: the normal equations of each fold and penalty written out.
+_XY2 = ("xy AS (SELECT s.e_duration AS x, CAST(coalesce(t.e_checked, 0) AS DOUBLE) AS z, CAST(t.e_total AS DOUBLE) AS y, "
+        "CAST(t.e_total % 5 AS INTEGER) AS fold " + _JOINED + ")")
+
+
+def _cv_sql(points: str, select: str) -> str:
+    """Cross-validation of two-feature candidates; ``points``: rows (name, alpha, ic), ic 1 with an intercept."""
+    sums = ", ".join(f"sum({a} * {b}) - ic * sum({a}) * sum({b}) / count(*) AS {a}{b}" for a, b in ("xx", "xz", "zz", "xy", "zy"))
+    return with_listing("", tables=True).rstrip() + ",\n" + _XY2 + f""",
+        p(name, alpha, ic) AS (VALUES {points}),
+        s AS (SELECT k, name, alpha, ic, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, {sums}
+              FROM xy, (SELECT unnest(range(5)) AS k), p WHERE fold <> k GROUP BY k, name, alpha, ic),
+        b AS (SELECT *, ((zz + alpha) * xy - xz * zy) / ((xx + alpha) * (zz + alpha) - xz * xz) AS b1,
+                     ((xx + alpha) * zy - xz * xy) / ((xx + alpha) * (zz + alpha) - xz * xz) AS b2 FROM s),
+        e AS (SELECT k, name, alpha, ic, sum(power(xy.y - ic * (my - b1 * mx - b2 * mz) - b1 * xy.x - b2 * xy.z, 2)) AS sse,
+                     var_pop(xy.y) * count(*) AS sst, count(*) AS n FROM xy JOIN b ON xy.fold = b.k GROUP BY k, name, alpha, ic)
+        {select}"""
+
+
+def _xy2(spark, sf) -> DataFrame:
+    """Duration and checked baggage against price, with a fold from the price's last digit."""
+    from pyspark.ml.feature import VectorAssembler
+
+    f = frame(spark, sf).select(_q("Flight_Duration").alias("x"), _q("Checked_Baggage").cast("double").alias("z"),
+                                F.col(FE.TARGET).cast("double").alias(FE.TARGET), (F.col(FE.TARGET) % 5).cast("int").alias("fold"))
+    return VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(f)
 
 
-@register("m8_cv", _with_xy("").rstrip() + ",\n" + _FOLDS + "\nSELECT CASE WHEN alpha = 0 THEN 'LinearRegression' ELSE 'Ridge' END AS model_name, "
-          "round(avg(1 - sse / sst), 6) AS mean_r2, round(avg(sqrt(sse / n)), 2) AS mean_rmse FROM e GROUP BY alpha")
+@register("m8_cv", _cv_sql("('LinearRegression', 0.0, 1), ('Ridge', 1.0, 1)",
+                           "SELECT name AS model_name, round(avg(1 - sse / sst), 6) AS mean_r2, round(avg(sqrt(sse / n)), 2) AS mean_rmse FROM e GROUP BY name"))
 def m8_cv(spark, sf):
-    """5-fold CV of the two candidates that have a closed form; the others are cross-validated in l3_price_run."""
-    cv = M.cross_validate(M.candidates()[:2], _xy(spark, sf))
+    """5-fold CV of the linear candidates on two features, from one job's statistics; the others are cross-validated in l3_price_run."""
+    cv = M.cross_validate(M.candidates()[:2], _xy2(spark, sf))
     return cv.select("model_name", F.round("mean_r2", 6).alias("mean_r2"), F.round("mean_rmse", 2).alias("mean_rmse"))
 
 
@@ -264,15 +286,19 @@ def m14_gbt(spark, sf):
     return _beats_mean(spark, sf, "GBT_fast")
 
 
-@register("m15_tune", "SELECT 'fit_intercept=True' AS choice, 6 AS points, true AS slope_between")
+_GRID = ", ".join(f"('Ridge(alpha={a}, fit_intercept={bool(i)})', {a}, {i})" for a in (0.1, 1.0, 10.0) for i in (1, 0))
+
+
+@register("m15_tune", _cv_sql(_GRID, "SELECT name AS model_name, round(avg(1 - sse / sst), 6) AS mean_r2, round(avg(sqrt(sse / n)), 2) AS mean_rmse, "
+                                     "row_number() OVER (ORDER BY avg(1 - sse / sst) DESC) = 1 AS best FROM e GROUP BY name"))
 def m15_tune(spark, sf):
-    """The whole Ridge grid. Without an intercept the fit is far worse, and the slope lies between those of the least and the largest penalty."""
-    d = _xy(spark, sf)
+    """Grid search of the Ridge family: the scores of its six points, and the chosen one's model fitted on all rows."""
+    d = cut_lineage(_xy2(spark, sf))
     (name, _), model = M.tune("Ridge", d)
-    ends = [float(M.ridge(alpha)(*M._fit_sizes(d)).fit(d).coefficients[0]) for alpha in (0.1, 10.0)]
-    between = min(ends) - 1e-6 <= float(model.coefficients[0]) <= max(ends) + 1e-6
-    return spark.createDataFrame([("fit_intercept=True" if "fit_intercept=True" in name else name, len(M.grid("Ridge")), between)],
-                                 "choice string, points int, slope_between boolean")
+    assert model.numFeatures == 2
+    cv = M.cross_validate(M.grid("Ridge"), d)
+    return cv.select("model_name", F.round("mean_r2", 6).alias("mean_r2"), F.round("mean_rmse", 2).alias("mean_rmse"),
+                     (F.col("model_name") == name).alias("best"))
 
 
 _HOLD = ("h AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, avg(y) AS m, stddev_pop(y) AS s FROM xy WHERE fold <> 0), "
