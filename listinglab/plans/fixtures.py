@@ -204,3 +204,97 @@ def raw_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("Total Rating: "), ratings, F.lit("\n"),
     )
     return j.select(F.col("s_name").alias("source"), text.alias("text"))
+
+
+# -------------------------------------------------------------- saved pages
+
+def _escaped(c: Column) -> Column:
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(char), F.lit(entity))
+    return F.coalesce(c, F.lit(""))
+
+
+def _html(template: str, **parts: Column) -> Column:
+    """A template with ``{name}`` places; the parts are escaped unless their name begins with ``raw_``."""
+    pieces, rest = [], template
+    while "{" in rest:
+        before, _, rest = rest.partition("{")
+        name, _, rest = rest.partition("}")
+        pieces += [F.lit(before), parts[name] if name.startswith("raw_") else _escaped(parts[name])]
+    return F.concat(*pieces, F.lit(rest))
+
+
+def _joined_html(items: Column) -> Column:
+    return F.coalesce(F.array_join(items, ""), F.lit(""))
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One detail page for each raw listing (page_id, html): four tables, the price cell with a table of its own."""
+    from ..functions.parsing import policy_list
+
+    raw = raw_listings(spark, sf_dir)
+    c = {n: F.col(f"`{n}`") for n in raw.columns}
+    policy = F.transform(policy_list(c["Refund Policy"]), lambda x: F.concat(F.lit('<tr class="r"><td><i>'), _escaped(x), F.lit("</i><br></td></tr>")))
+    html = _html(
+        "<html><body><div id='d' class=\"flight\"><table border=0 class='t'><tbody><tr><td><p class=\"a\">{dl}</p><p>&nbsp;{dt}</p></td>"
+        "<td><p>{fd}<p><img src='x.png'>{at}</td><td><p>{al}</p> <p>{arr}</p></td><td><div><table><tr><td>Total</td><td>{tp} (1 &gt; 0)</td></tr></table></div></td>"
+        "</tr></table><table><tr><th>Type</th></tr><tr><td>{pt}</td><td>{nt}</td><td>{ppt}</td><td>{tf}</td><td><b>{total}</b></td></tr></table>"
+        "<table class='bags'><tbody><tr><td>Bags</td></tr><tr><td>Cabin</td><td>{carry}</td></tr><tr><td>Hold</td><td>{checked}</td></tr></tbody></table>"
+        "<table><tbody><tr><td>Rules</td></tr>{raw_policy}</tbody></table></div></body></html>",
+        dl=c["Departure Location"], dt=c["Departure Time"], al=c["Arrival Location"], arr=c["Arrival Time"], fd=c["Flight Duration"], at=c["Aircraft Type"],
+        tp=c["Ticket Price"], pt=c["Passenger Type"], nt=c["Number of Tickets"], ppt=c["Price per Ticket"], tf=c["Taxes & Fees"], total=c["Total Price"],
+        carry=c["Carry-on Baggage"], checked=c["Checked Baggage"], raw_policy=_joined_html(policy))
+    return raw.select(F.xxhash64(*c.values()).alias("page_id"), html.alias("html"), F.col("`Scrape Time`"))
+
+
+#: Reviews on a page.
+PAGE_REVIEWS = 8
+
+
+def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of eight reviews (page_id, html), in the order of doc_id."""
+    r = raw_reviews(spark, sf_dir)
+    k = F.col("doc_id")
+
+    def bubble(x: Column) -> Column:
+        return F.concat(x.cast("string"), F.lit(".0 of 5 bubbles"))
+
+    name = F.element_at(F.array(*[F.lit(x) for x in SERVICES]), (k % 3 + 1).cast("int"))
+    services = F.when(k % 4 == 0, F.lit("")).otherwise(_html(
+        '<div class="JxiyB f"><div class="msVPq"><svg d="1" class="UctUV d H0"><title>{one}</title></svg><div class="biGQs _P pZUbB osNWb">Legroom</div></div>'
+        '<div id=x class="msVPq"><svg class="UctUV d H0">{two}</svg><div class="biGQs _P pZUbB osNWb"><div>{name}</div></div></div></div>',
+        one=bubble(1 + k % 5), two=bubble(1 + (k / 5).cast("bigint") % 5), name=name))
+    block = _html(
+        '<div data-k="1" class="lwGaE A"><div class="head"><svg class="UctUV d H0"><title>{rating}</title></svg></div>'
+        '<div class="biGQs _P fiohW uuBRH"><div><a href="/r">{title}</a></div></div><div><span class="JguWG"><span>{review}</span></span></div>'
+        '<div class="biGQs _P pZUbB ncFvv osNWb">{info}</div>{raw_services}<hr></div>',
+        rating=F.col("Rating"), title=F.col("Title"), review=F.col("`Full Review`"), info=F.col("Information"), raw_services=services)
+    pages = r.select(F.expr(f"doc_id div {PAGE_REVIEWS}").alias("page_id"), k, block.alias("block")).groupBy("page_id").agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", "block"))).alias("b"))
+    return pages.select("page_id", F.concat(F.lit("<html><head><title>Reviews</title></head><body>"), F.array_join("b.block", "\n"), F.lit("</body></html>")).alias("html"))
+
+
+def info_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page for each supplier (page_id, html) with the fields of its info record."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)   # 25 rows by schema
+    k = F.col("s_suppkey")
+    mention = F.when(k % 7 == 0, F.lit("")).otherwise(_html(
+        "<span class='_T'>budget airline</span><span class=\"_T\">hub {n}</span><span class='_T' id=r>route {r}</span>", n=F.col("n_name"), r=(k % 13).cast("string")))
+
+    def attribute(name: str, mod: int) -> Column:
+        return _html('<div class="HWAlD TQNLQ"><span class="exvvN">' + name + '</span><div><span class="RkhSR">{v}</span></div></div>', v=(1 + k % mod).cast("string"))
+
+    def total(name: str, value: Column) -> Column:
+        return _html('<div class="jxnKb"><div class="Ygqck o W q">' + name + '</div><div class="biGQs _P fiohW biKBZ osNWb">{v}</div></div>', v=F.format_number(value, 0))
+
+    attributes = F.when(k % 11 == 0, F.lit("")).otherwise(F.concat(attribute("Legroom", 5), attribute("Food &amp; drink", 3), attribute("Cleanliness", 4)))
+    totals = F.concat(total("Excellent", k * 37 % 5000), total("Good", k * 53 % 3000))
+    html = _html(
+        '<html><body><div class="jIkPg G u"><h1>{name}</h1></div><div class="bOZAZ VNlYD">011 84 {phone}</div><div class="biGQs _P pZUbB W hmDzD">{k} Street, {n} Vietnam</div>'
+        '<div class="jWfod u"><div><a href="tel:{k}">Call</a></div><a class=w href="http://www.s{k}.example.com/?a=1&amp;b=2">Site</a></div><span class="ammfn">{rating}</span>'
+        '<span class="SSkub">{total} reviews</span><div class="TuqGj"><div>{raw_mention}</div></div>{raw_attributes}{raw_totals}</body></html>',
+        name=F.col("s_name"), phone=(1900 + k % 100).cast("string"), k=k.cast("string"), n=F.col("n_name"), rating=F.format_string("%.1f", 1 + (k % 9) / 2.0),
+        total=F.format_number(k * 37 + 100, 0), raw_mention=mention, raw_attributes=attributes, raw_totals=totals)
+    return j.select(k.alias("page_id"), html.alias("html"))

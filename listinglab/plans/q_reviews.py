@@ -18,7 +18,7 @@ from ..sources import files as S
 from ..sources import html as H
 from ..session import table, work_path
 from . import fixtures as fx
-from .oracle import norm_text, with_info, with_reviews
+from .oracle import norm_text, with_info, with_listing, with_reviews
 from .registry import register
 
 
@@ -71,38 +71,54 @@ def s3_read_info(spark, sf):
     return parsed.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
 
 
-_LINK = r'<li><a href="([^"]*)">([^<]*)</a></li>'
-
-
-@register("s7_html_cells",
-          "SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title, "
-          "nullif(regexp_extract(html, '<h1>(.*?)</h1>', 1), '') AS heading, "
-          f"regexp_extract_all(html, '{_LINK}', 2)[1] AS link1_text, "
-          f"regexp_extract_all(html, '{_LINK}', 1)[1] AS link1_href, "
-          f"regexp_extract_all(html, '{_LINK}', 2)[3] AS link3_text, "
-          "CAST(NULL AS VARCHAR) AS table_cell1 FROM pages")
+@register("s7_html_cells", with_listing(
+    "SELECT e_dep_loc AS dep_loc, e_dep_time AS dep_time, e_arr_loc AS arr_loc, e_arr_time AS arr_time, e_duration AS duration, e_aircraft AS aircraft, "
+    "e_passenger AS passenger, e_price AS price, e_tax AS tax, e_total AS total, e_carry AS carry, e_checked AS checked, e_airline AS airline, "
+    "e_flight AS flight, e_fare AS fare, array_to_string(e_policy, '/') AS policy, e_scrape AS scrape, count(*) AS n FROM cl GROUP BY ALL"))
 def s7_html_cells(spark, sf):
-    return H.extract_listing_pages(table(spark, sf, "pages"))
-
-
-@register("s8_html_repeated",
-          f"SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>(.*?)</title>', 1), ''), '') AS title, "
-          f"CAST(i AS INTEGER) AS pos, regexp_extract_all(html, '{_LINK}', 1)[i] AS href, "
-          f"regexp_extract_all(html, '{_LINK}', 2)[i] AS text "
-          f"FROM pages, range(1, len(regexp_extract_all(html, '{_LINK}', 1)) + 1) t(i)")
+    """Every listing as a detail page, its cells extracted by position and cleaned: the values of the source columns."""
+    pages = fx.listing_pages(spark, sf)
+    found = H.listing_rows(pages.withColumn("id", F.struct("page_id", _q("Scrape Time").alias("scrape"))), "id")
+    texts = [F.nullif(_q(c), F.lit("")).alias(c) for c in H.LISTING_FIELDS]
+    # The cleaner reads a list literal; the page's list is one already.
+    raw = found.select(*texts, F.col("id.scrape").alias("Scrape Time"), F.array_join("Refund Policy", "/").alias("_policy"), F.lit("[]").alias("Refund Policy"))
+    names = {"Departure Location": "dep_loc", "Departure Time": "dep_time", "Arrival Location": "arr_loc", "Arrival Time": "arr_time", "Flight Duration": "duration",
+             "Aircraft Type": "aircraft", "Passenger Type": "passenger", "Price per Ticket": "price", "Taxes & Fees": "tax", "Total Price": "total",
+             "Carry-on Baggage": "carry", "Checked Baggage": "checked", "Airline": "airline", "Flight Code": "flight", "Fare Class": "fare",
+             "_policy": "policy", "Scrape Time": "scrape"}
+    return CL.clean_listings(raw).select(*[_q(c).alias(n) for c, n in names.items()]).groupBy(*names.values()).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s8_html_repeated", with_reviews(
+    f"SELECT doc_id // {fx.PAGE_REVIEWS} AS page_id, CAST(row_number() OVER (PARTITION BY doc_id // {fx.PAGE_REVIEWS} ORDER BY doc_id) AS INTEGER) AS pos, "
+    "CASE WHEN e_rating IS NULL THEN 'no rating' ELSE CAST(CAST(e_rating AS INTEGER) AS VARCHAR) || '.0 of 5 bubbles' END AS rating, title, sha256(text) AS review, "
+    "CASE WHEN doc_id % 4 = 0 THEN NULL ELSE CAST(1 + doc_id % 5 AS VARCHAR) || '.0 of 5 bubbles|Legroom;' || CAST(1 + doc_id // 5 % 5 AS VARCHAR) || '.0 of 5 bubbles|' "
+    "|| ['Legroom', 'Seat comfort', 'Customer service'][doc_id % 3 + 1] END AS services FROM rv"))
 def s8_html_repeated(spark, sf):
-    return H.extract_review_pages(table(spark, sf, "pages"))
-
-
-@register("s9_html_record",
-          "SELECT page_id, coalesce(nullif(regexp_extract(html, '<title>(.*?)</title>', 1), ''), 'Not found') AS name, "
-          "coalesce(nullif(regexp_extract(html, '<html lang=\"([^\"]*)\"', 1), ''), 'Not found') AS lang, "
-          "coalesce(nullif(regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1), ''), 'Not found') AS ad_text, "
-          "'Not found' AS table_cell, "
-          f"CAST(len(regexp_extract_all(html, '{_LINK}', 1)) AS INTEGER) AS n_links, "
-          f"array_to_string(regexp_extract_all(html, '{_LINK}', 2), '|') AS link_texts FROM pages")
+    """Pages of eight reviews: every review's fields and service ratings, in page order."""
+    found = H.review_rows(fx.review_pages(spark, sf))
+    services = F.array_join(F.transform(_q("Service Ratings"), lambda s: F.concat_ws("|", s["Service Rating"], s["Service Info"])), ";")
+    return found.select("page_id", "pos", F.col("Rating").alias("rating"), F.col("Title").alias("title"),
+                        F.sha2(_q("Full Review").cast("binary"), 256).alias("review"), services.alias("services"))
+
+
+@register("s9_html_record", with_info(
+    "SELECT k AS page_id, s_name AS name, '011 84 ' || CAST(1900 + k % 100 AS VARCHAR) AS phone, CAST(k AS VARCHAR) || ' Street, ' || n_name || ' Vietnam' AS address, "
+    "'http://www.s' || CAST(k AS VARCHAR) || '.example.com/?a=1&b=2' AS website, 1 + (k % 9) / 2.0 AS rating, k * 37 + 100 AS reviews, "
+    "CASE WHEN k % 7 = 0 THEN '' ELSE 'budget airline|hub ' || n_name || '|route ' || CAST(k % 13 AS VARCHAR) END AS mentions, "
+    "CASE WHEN k % 11 = 0 THEN '' ELSE 'Cleanliness=' || CAST(1 + k % 4 AS VARCHAR) || ';Food & drink=' || CAST(1 + k % 3 AS VARCHAR) || ';Legroom=' || CAST(1 + k % 5 AS VARCHAR) END AS attributes, "
+    "k * 37 % 5000 AS excellent, k * 53 % 3000 AS good FROM inf"))
 def s9_html_record(spark, sf):
-    return H.extract_info_pages(table(spark, sf, "pages"))
+    """One page for each supplier: every field of its record."""
+    def number(c):
+        return F.translate(F.substring_index(c, " ", 1), ",", "").cast("bigint")
+
+    found = H.info_records(fx.info_pages(spark, sf))
+    attributes = F.array_join(F.array_sort(F.transform(F.map_entries("attributes"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";")
+    return found.select(
+        "page_id", "name", "phone", "address", F.array_join("website", "|").alias("website"), F.col("average_rating").cast("double").alias("rating"),
+        number(F.col("total_review")).alias("reviews"), F.array_join("popular_mentions", "|").alias("mentions"), attributes.alias("attributes"),
+        number(F.col("total_ratings")["Excellent"]).alias("excellent"), number(F.col("total_ratings")["Good"]).alias("good"))
 
 
 # ================================================================== functions

@@ -18,6 +18,9 @@ _DEFAULTS = {
     # AQE may turn a shuffle join into a broadcast join only when the
     # materialised side is measured below this size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # HotSpot never compiles a method of over 8,000 bytes: a stage whose generated
+    # method is larger runs operator by operator, in methods that Spark splits.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

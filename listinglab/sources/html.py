@@ -1,193 +1,221 @@
 """Saved HTML pages as tables (S7-S9), re-aimed from browser scraping.
 
-A table of saved pages (id, url, html) is turned into rows with native
-regex expressions evaluated per row inside the scan stage: no browser, no
-per-page Python. Positional cells use ``try_element_at`` so a missing tag
-gives NULL (S7) or a default (S9) instead of an error.
+A table of saved pages (id, html) is turned into rows by one pass over each
+page with a stack of open elements (:class:`Page`, on Python's own tokenizer):
+attributes in any order, void and unclosed tags, nested elements of one tag,
+all character references. Elements are then found by tag and class as a range
+of the page, so a look-up reads no text twice. Pages are read in Arrow
+batches within the scan's stage: no shuffle, no page leaves its task.
+
+A missing element gives NULL (S7), '' (S8) or a default (S9), as in the source.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# Tag patterns (first group = content) and the missing default.
-TITLE = r"<title>(.*?)</title>"
-H1 = r"<h1>(.*?)</h1>"
-LANG = r"<html lang=\"([^\"]*)\""
-AD = r"<div class=\"ad\">(.*?)</div>"
-LINK = r"<li><a href=\"([^\"]*)\">([^<]*)</a></li>"
-TABLE_CELL = r"<td>(.*?)</td>"
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
+from html.parser import HTMLParser
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+# Tags and classes that mark the parts of the source's pages, and the missing default.
+REVIEW, SERVICES, SERVICE = ("div", "lwGaE A"), ("div", "JxiyB f"), ("div", "msVPq")
+RATING, REVIEW_TITLE, REVIEW_TEXT = ("svg", "UctUV d H0"), ("div", "biGQs _P fiohW uuBRH"), ("span", "JguWG")
+REVIEW_INFO, SERVICE_INFO = ("div", "biGQs _P pZUbB ncFvv osNWb"), ("div", "biGQs _P pZUbB osNWb")
+INFO_TAGS = {"name": ("div", "jIkPg G u"), "phone": ("div", "bOZAZ VNlYD"), "address": ("div", "biGQs _P pZUbB W hmDzD"),
+             "average_rating": ("span", "ammfn"), "total_review": ("span", "SSkub")}
+WEBSITE, MENTIONS, MENTION = ("div", "jWfod u"), ("div", "TuqGj"), ("span", "_T")
+ATTRIBUTE, ATTRIBUTE_NAME, ATTRIBUTE_RATE = ("div", "HWAlD TQNLQ"), ("span", "exvvN"), ("span", "RkhSR")
+TOTAL, TOTAL_NAME, TOTAL_COUNT = ("div", "jxnKb"), ("div", "Ygqck o W q"), ("div", "biGQs _P fiohW biKBZ osNWb")
 NOT_FOUND = "Not found"
-
-
-def _all(html: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
-
-
-def nth(html: Column, pattern: str, n: int = 1, group: int = 1) -> Column:
-    """n-th (1-based) match of ``pattern``'s group, NULL when absent."""
-    return F.try_element_at(_all(html, pattern, group), F.lit(n))
-
-
-def extract_listing_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Positional cells per page; a missing tag/table gives NULL."""
-    h = F.col(html_col)
-    return pages.select(
-        F.col(id_col),
-        nth(h, TITLE).alias("title"),
-        nth(h, H1).alias("heading"),
-        nth(h, LINK, 1, 2).alias("link1_text"),
-        nth(h, LINK, 1, 1).alias("link1_href"),
-        nth(h, LINK, 3, 2).alias("link3_text"),
-        nth(h, TABLE_CELL, 1).alias("table_cell1"),
-    )
-
-
-def extract_review_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per repeated item (here: list links) with its position and
-    page-level fields; '' when the page-level tag is missing."""
-    h = F.col(html_col)
-    items = F.arrays_zip(_all(h, LINK, 1).alias("href"), _all(h, LINK, 2).alias("text"))
-    base = pages.select(F.col(id_col), F.coalesce(nth(h, TITLE), F.lit("")).alias("title"), items.alias("_items"))
-    return base.select(id_col, "title", F.posexplode("_items").alias("pos", "_it")) \
-        .select(id_col, "title", (F.col("pos") + 1).alias("pos"),
-                F.col("_it.href").alias("href"), F.col("_it.text").alias("text"))
-
-
-def extract_info_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One attribute record per page; missing fields are 'Not found'."""
-    h = F.col(html_col)
-
-    def nf(c: Column) -> Column:
-        return F.coalesce(c, F.lit(NOT_FOUND))
-
-    return pages.select(
-        F.col(id_col),
-        nf(nth(h, TITLE)).alias("name"),
-        nf(nth(h, LANG)).alias("lang"),
-        nf(nth(h, AD)).alias("ad_text"),
-        nf(nth(h, TABLE_CELL)).alias("table_cell"),
-        F.size(_all(h, LINK, 1)).alias("n_links"),
-        F.array_join(_all(h, LINK, 2), "|").alias("link_texts"),
-    )
-
-
-# ------------------------------------------------------- the source's pages
-
-# Tags and classes that mark the parts of the source's pages.
-REVIEW, SERVICES, SERVICE = 'div class="lwGaE A"', 'div class="JxiyB f"', 'div class="msVPq"'
-RATING, REVIEW_TITLE, REVIEW_TEXT = 'svg class="UctUV d H0"', 'div class="biGQs _P fiohW uuBRH"', 'span class="JguWG"'
-REVIEW_INFO, SERVICE_INFO = 'div class="biGQs _P pZUbB ncFvv osNWb"', 'div class="biGQs _P pZUbB osNWb"'
-INFO_TAGS = {"name": 'div class="jIkPg G u"', "phone": 'div class="bOZAZ VNlYD"', "address": 'div class="biGQs _P pZUbB W hmDzD"',
-             "average_rating": 'span class="ammfn"', "total_review": 'span class="SSkub"'}
-WEBSITE, MENTIONS, MENTION = 'div class="jWfod u"', 'div class="TuqGj"', 'span class="_T"'
-ATTRIBUTE, ATTRIBUTE_NAME, ATTRIBUTE_RATE = 'div class="HWAlD TQNLQ"', 'span class="exvvN"', 'span class="RkhSR"'
-TOTAL, TOTAL_NAME, TOTAL_COUNT = 'div class="jxnKb"', 'div class="Ygqck o W q"', 'div class="biGQs _P fiohW biKBZ osNWb"'
-
-
-def text_of(html: Column) -> Column:
-    """The text of a piece of HTML: tags away, the five entities read."""
-    t = F.regexp_replace(html, "<[^>]*>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
-    return t
-
-
-def _after(html: Column, tag: str) -> Column:
-    """What follows the first ``<tag ...>``'s name and class; NULL when the tag is missing."""
-    at = F.instr(html, f"<{tag}")
-    return F.when(at > 0, F.substr(html, at + F.lit(len(tag) + 1)))
-
-
-def _inner(html: Column, tag: str) -> Column:
-    """Text of the first element of this tag and class (up to its first end tag)."""
-    return text_of(F.substring_index(F.substr(_after(html, tag), F.instr(_after(html, tag), ">") + 1), f"</{tag.split(' ')[0]}>", 1))
-
-
-def _blocks(html: Column, tag: str) -> Column:
-    """What follows each element's start, up to the next one's."""
-    parts = F.split(html, F.lit(f"<{tag}".replace("(", r"\(")))
-    return F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))
-
-
-def _outer_tables(html: Column) -> Column:
-    """The tables that stand in no other table, in order, with all that is in them."""
-    def step(a: Column, p: Column) -> Column:
-        opens, closes = p.startswith("<table"), p.startswith("</table")
-        grown = F.concat(F.slice(a["out"], 1, F.greatest(F.size(a["out"]) - 1, F.lit(0))), F.array(F.concat(F.try_element_at(a["out"], F.lit(-1)), p)))
-        out = F.when(opens & (a["depth"] == 0), F.concat(a["out"], F.array(p))).when(a["depth"] > 0, grown).otherwise(a["out"])
-        return F.struct((a["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"), out.alias("out"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(F.split(html, "(?=</?table[\\s>])"), start, step, lambda a: a["out"])
+# Elements without an end tag, and what a start tag ends when it is still open.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ENDS = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr"},
+        "tbody": {"td", "th", "tr", "thead", "tbody"}, "option": {"option"}}
+STOPS = {"p": {"div", "td", "th", "li", "table"}, "li": {"ul", "ol"}, "option": {"select"}}
+
+
+class Page(HTMLParser):
+    """The elements of a page in document order: ``tags``, ``classes`` and ``links``; ``last`` is the element after an
+    element's last descendant, and ``texts`` the range of text pieces inside it."""
+
+    def __init__(self, html: str | None):
+        super().__init__(convert_charrefs=True)
+        self.tags: list[str] = []
+        self.classes: list[str] = []
+        self.links: list[str | None] = []
+        self.last: list[int] = []
+        self.texts: list[list[int]] = []
+        self.pieces: list[str] = []
+        self.kinds: dict[tuple[str, str | None], list[int]] = {}
+        self._open: list[int] = []
+        self.feed(html or "")
+        self.close()
+        self._close_to(0)
+
+    def _close_to(self, depth: int) -> None:
+        for k in self._open[depth:]:
+            self.last[k] = len(self.tags)
+            self.texts[k][1] = len(self.pieces)
+        del self._open[depth:]
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        ends, stops = ENDS.get(tag, ()), STOPS.get(tag, {"table"})
+        # An end that a start tag implies: the outermost of those that are open up to the enclosing list or table.
+        for depth in range(len(self._open) - 1, -1, -1):
+            name = self.tags[self._open[depth]]
+            if name in ends and not any(self.tags[k] in ends for k in self._open[max(0, depth - 2):depth]):
+                self._close_to(depth)
+                break
+            if name in stops:
+                break
+        given = dict(attrs)
+        k, cls = len(self.tags), " ".join((given.get("class") or "").split())
+        self.tags.append(tag)
+        self.classes.append(cls)
+        self.links.append(given.get("href"))
+        self.last.append(k + 1)
+        self.texts.append([len(self.pieces), len(self.pieces)])
+        self.kinds.setdefault((tag, None), []).append(k)
+        self.kinds.setdefault((tag, cls), []).append(k)
+        if tag not in VOID:
+            self._open.append(k)
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._close_to(len(self._open) - 1)
+
+    def handle_endtag(self, tag: str) -> None:
+        for depth in range(len(self._open) - 1, -1, -1):
+            name = self.tags[self._open[depth]]
+            if name == tag:
+                self._close_to(depth)
+                return
+            if name == "table" and tag not in ("div", "body", "html"):
+                return
+
+    def handle_data(self, data: str) -> None:
+        self.pieces.append(data)
+
+    def all(self, tag: str, cls: str | None = None, inside: int | None = None) -> list[int]:
+        """Elements of a tag (and class) inside an element, in order."""
+        found = self.kinds.get((tag, cls), [])
+        if inside is None:
+            return found
+        return found[bisect_left(found, inside + 1):bisect_left(found, self.last[inside])]
+
+    def outermost(self, tag: str) -> list[int]:
+        """Elements of a tag that stand in no other of that tag."""
+        out: list[int] = []
+        for k in self.all(tag):
+            if not out or k >= self.last[out[-1]]:
+                out.append(k)
+        return out
+
+    def text(self, k: int) -> str:
+        return "".join(self.pieces[slice(*self.texts[k])])
+
+    def first_text(self, kind: tuple[str, str], missing: str, inside: int | None = None) -> str:
+        found = self.all(*kind, inside)
+        return self.text(found[0]) if found else missing
+
+
+def _rows(pages: DataFrame, id_col: str, html_col: str, fields: list[T.StructField], read: Callable[[Page], list[tuple]]) -> DataFrame:
+    """(id, fields): the rows that ``read`` finds in each page."""
+    schema = T.StructType([pages.schema[id_col], *fields])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            ids, rows = [], []
+            for k, body in enumerate(batch.column(1)):
+                found = read(Page(body.as_py()))
+                ids += [k] * len(found)
+                rows += found
+            columns = list(zip(*rows, strict=True)) or [[] for _ in fields]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(ids, pa.int32())), *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], names=arrow.names)
+
+    return pages.select(f"`{id_col}`", f"`{html_col}`").mapInArrow(run, schema)
+
+
+_STRING, _STRINGS = T.StringType(), T.ArrayType(T.StringType())
+LISTING_FIELDS = ["Departure Location", "Departure Time", "Arrival Location", "Arrival Time", "Flight Duration", "Aircraft Type", "Ticket Price",
+                  "Passenger Type", "Number of Tickets", "Price per Ticket", "Taxes & Fees", "Total Price", "Carry-on Baggage", "Checked Baggage"]
+
+
+def _at(items: list, n: int):
+    return items[n] if -len(items) <= n < len(items) else None
+
+
+def read_listing(page: Page) -> list[tuple]:
+    """The fields of a detail page from its four tables by position; none without the first table."""
+    tables = page.outermost("table")
+    if not tables:
+        return []
+
+    def texts(found: list[int]) -> list[str]:
+        return [page.text(k).strip() for k in found]
+
+    def rows(n: int) -> list[int]:
+        return page.all("tr", None, tables[n]) if n < len(tables) else []
+
+    cells = page.all("td", None, tables[0])
+    one, two, three = ([texts(page.all("p", None, k)) for k in cells[:3]] + [[], [], []])[:3]
+    inner = page.all("tr", None, cells[3]) if len(cells) > 3 else []
+    price = _at(texts(page.all("td", None, inner[0])) if inner else [], -1)
+    parts = texts(page.all("td", None, rows(1)[1])) if len(rows(1)) > 1 else []
+    bags = [_at(texts(page.all("td", None, r)), 1) for r in rows(2)[1:3]] if len(rows(2)) > 2 else [None, None]
+    return [(_at(one, 0), _at(one, 1), _at(three, 0), _at(three, 1), _at(two, 0), _at(two, -1), price and price.split("(")[0].strip(),
+             *(parts if len(parts) == 5 else [None] * 5), *bags, texts(rows(3)[1:]) if len(tables) > 3 else None)]
 
 
 def listing_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row for each detail page, 15 raw columns (the scrape time is the
     reader's) from its four tables by position. A page without the first table
     is no listing and gives no row; a later table that is missing gives NULLs."""
-    tables = pages.select(F.col(id_col), _outer_tables(F.col(html_col)).alias("t"))
-    p = tables.select(F.col(id_col), *[F.try_element_at("t", F.lit(k)).alias(f"t{k}") for k in (1, 2, 3, 4)]).where("t1 IS NOT NULL")
-
-    def cells(table: Column, tag: str) -> Column:
-        return F.transform(F.regexp_extract_all(table, F.lit(f"(?s)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1)), lambda c: F.trim(text_of(c)))
-
-    def rows(table: Column) -> Column:
-        return F.regexp_extract_all(table, F.lit("(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-
-    def at(array: Column, n: int) -> Column:
-        return F.try_element_at(array, F.lit(n))
-
-    # Three cells hold paragraphs; the fourth a table of its own, with the price in the last cell of its first row.
-    split = F.split(F.col("t1"), "<td", 5)
-    first = F.transform(split, lambda c: F.regexp_extract_all(c, F.lit("(?s)<p[^>]*>(.*?)</p>"), F.lit(1)))
-    par = F.transform(first, lambda ps: F.transform(ps, lambda x: F.trim(text_of(x))))
-    price = F.trim(F.substring_index(F.element_at(cells(at(rows(at(split, 5)), 1), "td"), -1), "(", 1))
-    two, three = cells(at(rows(F.col("t2")), 2), "td"), rows(F.col("t3"))
-    whole = F.size(two) == 5
-    bags = F.size(three) >= 3
-    policy = F.transform(F.slice(rows(F.col("t4")), 2, F.greatest(F.size(rows(F.col("t4"))), F.lit(1))), lambda r: F.trim(text_of(r)))
-    names = ["Passenger Type", "Number of Tickets", "Price per Ticket", "Taxes & Fees", "Total Price"]
-    return p.select(
-        id_col, at(at(par, 2), 1).alias("Departure Location"), at(at(par, 2), 2).alias("Departure Time"), at(at(par, 4), 1).alias("Arrival Location"),
-        at(at(par, 4), 2).alias("Arrival Time"), at(at(par, 3), 1).alias("Flight Duration"), at(at(par, 3), -1).alias("Aircraft Type"), price.alias("Ticket Price"),
-        *[F.when(whole, at(two, k + 1)).alias(n) for k, n in enumerate(names)],
-        F.when(bags, at(cells(at(three, 2), "td"), 2)).alias("Carry-on Baggage"), F.when(bags, at(cells(at(three, 3), "td"), 2)).alias("Checked Baggage"),
-        F.when(F.col("t4").isNotNull(), policy).alias("Refund Policy"))
+    return _rows(pages, id_col, html_col, [*(T.StructField(n, _STRING) for n in LISTING_FIELDS), T.StructField("Refund Policy", _STRINGS)], read_listing)
+
+
+def read_reviews(page: Page) -> list[tuple]:
+    out = []
+    for pos, k in enumerate(page.all(*REVIEW), 1):
+        services = page.all(*SERVICES, k)
+        rated = None if not services else [
+            {"Service Rating": page.first_text(RATING, "", s), "Service Info": page.first_text(SERVICE_INFO, "", s)} for s in page.all(*SERVICE, services[0])]
+        out.append((pos, *(page.first_text(kind, "", k) for kind in (RATING, REVIEW_TITLE, REVIEW_TEXT, REVIEW_INFO)), rated))
+    return out
 
 
 def review_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row per review element; '' for a missing tag; service ratings as
     an array of structs, NULL where a review has no service table."""
-    blocks = pages.select(F.col(id_col), F.posexplode(_blocks(F.col(html_col), REVIEW)).alias("pos", "b"))
-    b = F.col("b")
+    service = T.ArrayType(T.StructType([T.StructField("Service Rating", _STRING), T.StructField("Service Info", _STRING)]))
+    return _rows(pages, id_col, html_col, [
+        T.StructField("pos", T.IntegerType()), *(T.StructField(n, _STRING) for n in ("Rating", "Title", "Full Review", "Information")),
+        T.StructField("Service Ratings", service)], read_reviews)
+
 
-    def field(html: Column, tag: str) -> Column:
-        return F.coalesce(_inner(html, tag), F.lit(""))
+def read_info(page: Page) -> list[tuple]:
+    def pairs(kind: tuple, name: tuple, value: tuple) -> list[tuple[str, str]]:
+        return list({page.first_text(name, "", k): page.first_text(value, "", k) for k in page.all(*kind)}.items())
 
-    services = F.transform(_blocks(_after(b, SERVICES), SERVICE),
-                           lambda s: F.struct(field(s, RATING).alias("Service Rating"), field(s, SERVICE_INFO).alias("Service Info")))
-    return blocks.select(id_col, (F.col("pos") + 1).alias("pos"), field(b, RATING).alias("Rating"), field(b, REVIEW_TITLE).alias("Title"),
-                         field(b, REVIEW_TEXT).alias("Full Review"), field(b, REVIEW_INFO).alias("Information"),
-                         F.when(F.instr(b, f"<{SERVICES}") > 0, services).alias("Service Ratings"))
+    sites, mentions = page.all(*WEBSITE), page.all(*MENTIONS)
+    links = [page.links[k] for k in page.all("a", None, sites[0])] if sites else None
+    return [(*(page.first_text(kind, NOT_FOUND) for kind in INFO_TAGS.values()), links and [x for x in links if x and "http" in x],
+             [page.text(k) for k in page.all(*MENTION, mentions[0])] if mentions else [],
+             pairs(ATTRIBUTE, ATTRIBUTE_NAME, ATTRIBUTE_RATE), pairs(TOTAL, TOTAL_NAME, TOTAL_COUNT))]
 
 
 def info_records(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One record per page with two maps; missing fields are 'Not found'.
-    Of repeated names in a map the last value stays."""
-    h = F.col(html_col)
-
-    def pairs(tag: str, name: str, value: str) -> Column:
-        each = F.transform(_blocks(h, tag), lambda e: F.struct(F.coalesce(_inner(e, name), F.lit("")).alias("k"), F.coalesce(_inner(e, value), F.lit("")).alias("v")))
-        return F.aggregate(each, F.create_map().cast("map<string,string>"),
-                           lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
-
-    links = F.regexp_extract_all(F.substring_index(_after(h, WEBSITE), "</div>", 1), F.lit(r'<a[^>]*href="([^"]*)"'), F.lit(1))
-    mentions = F.transform(_blocks(F.substring_index(_after(h, MENTIONS), "</div>", 1), MENTION),
-                           lambda m: text_of(F.substring_index(F.substr(m, F.instr(m, ">") + 1), "</span>", 1)))
-    return pages.select(
-        F.col(id_col), *[F.coalesce(_inner(h, tag), F.lit(NOT_FOUND)).alias(n) for n, tag in INFO_TAGS.items()],
-        F.filter(links, lambda x: F.contains(x, F.lit("http"))).alias("website"),
-        F.coalesce(mentions, F.array().cast("array<string>")).alias("popular_mentions"),
-        pairs(ATTRIBUTE, ATTRIBUTE_NAME, ATTRIBUTE_RATE).alias("attributes"), pairs(TOTAL, TOTAL_NAME, TOTAL_COUNT).alias("total_ratings"))
+    """One record per page with two maps; missing fields are 'Not found',
+    a missing site NULL. Of repeated names in a map the last value stays."""
+    pairs = T.MapType(_STRING, _STRING)
+    return _rows(pages, id_col, html_col, [
+        *(T.StructField(n, _STRING) for n in INFO_TAGS), T.StructField("website", _STRINGS), T.StructField("popular_mentions", _STRINGS),
+        T.StructField("attributes", pairs), T.StructField("total_ratings", pairs)], read_info)
