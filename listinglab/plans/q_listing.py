@@ -818,7 +818,7 @@ def l1_clean(spark, sf):
     _TABLE_ROWS_SQL + " UNION ALL SELECT 'rejects', reject_reason FROM lc WHERE rejected", tables=True))
 def l2_etl(spark, sf):
     """Two runs, the second over the first one's files and new ones: the tables hold every row once, airlines keep their ids."""
-    from .flows import run_listing_etl
+    from .flows import run_listing_etl, stored_tables
 
     src, out = work_path(spark, "etl-src"), work_path(spark, "etl-out")
     r = fx.raw_listings(spark, sf, with_layout=True)
@@ -827,5 +827,5 @@ def l2_etl(spark, sf):
     K.append_raw(r.where(F.col("day") > F.lit("01_01_1997")), src)
     paths = run_listing_etl(spark, src, out)
     _, rejects = CL.tagged_parts(spark.read.parquet(paths["listings"]))
-    return table_rows(K.read_tables(spark, out, list(_TABLE_ROWS))).unionByName(
+    return table_rows(stored_tables(spark, out)).unionByName(
         rejects.select(F.lit("rejects").alias("name"), F.col(CL.REJECT_REASONS).alias("row_text")))

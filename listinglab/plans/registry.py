@@ -20,4 +20,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module (they register on import)."""
-    from . import q_listing, q_model, q_reviews  # noqa: F401
+    from . import q_listing, q_model, q_reviews, q_stored  # noqa: F401
