@@ -128,62 +128,82 @@ def test_languages_of_hard_cases(messy, messy_rows, empty):
     assert {r.lang_pred for r in language_id.identify(messy, F.lit(True)).collect()} == {"und"}
 
 
-def test_kneser_ney_adds_up():
-    """In each context seen, the probabilities of all characters and the unseen one add up to one."""
-    words = ["the", "then", "that", "hat", "tent", "a"]
-    rows = defaultdict(list)
-    g = chargrams.Grams(words, language_id.ORDER)
-    for m in range(1, language_id.ORDER + 1):
-        at = g.at(max(m, 2))
-        for h, s, c, b, n in {(int(g.hash[m][k]), int(g.hash[m - 1][k]) if m > 1 else 0, int(g.hash[m - 1][k - 1]) if m > 1 else 0, bool(m > 1 and g.reach[k] == m),
-                               int((g.hash[m][at] == g.hash[m][k]).sum())) for k in at}:
-            for name, v in zip(("lang", "m", "gram", "suffix", "context", "starts", "c"), (0, m, h, s, c, b, n), strict=True):
-                rows[name].append(v)
-    arrays = {k: np.array(v, np.uint64 if k in ("gram", "suffix", "context") else None) for k, v in rows.items()}
-    model = language_id.kneser_ney(arrays, ["x"])
-    alphabet = sorted({*"".join(words), " "})
-
-    def p(history, char):
-        total, m = 0.0, min(len(history) + 1, language_id.ORDER)
-        for m in range(m, 0, -1):
-            gram = history[len(history) - m + 1:] + char if m > 1 else char
-            h = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for x in gram:
-                    h = h * chargrams.BASE + np.uint64(ord(x))
-                at, known = chargrams.find(model.grams[m][0], np.array([h]))
-                if known[0]:
-                    return math.exp(total + model.grams[m][1][at[0], 0])
-                if m == 1:
-                    return math.exp(total + model.unseen[0])
-                h = np.uint64(0)
-                for x in gram[:-1]:
-                    h = h * chargrams.BASE + np.uint64(ord(x))
-                at, known = chargrams.find(model.contexts[m][0], np.array([h]))
-                total += model.contexts[m][1][at[0], 0] if known[0] else 0.0
-
-    for history in (" ", " t", " th", "the", "hat"):
-        assert sum(p(history, c) for c in alphabet) + p(history, "一") == pytest.approx(1, abs=1e-6)
-
-
-def test_smaller_language_models_keep_exact_statistics(spark):
-    """A cut model: a rare language keeps its grams, and the discounts and totals are those of all rows."""
+def brute_model(texts_by_language):
+    """p(language, history, character) by the definition: interpolated Kneser-Ney over the words, each between blanks."""
+    top = language_id.ORDER
+    words = {x: [f" {w} " for t in ts for token in t.lower().split() for w in chargrams.LETTERS.findall(token)] for x, ts in texts_by_language.items()}
+    alphabet = len({c for ws in words.values() for w in ws for c in w}) + 1
+    counts, levels = {}, {}
+    for x, ws in words.items():
+        raw = Counter()
+        for w in ws:
+            for k in range(1, len(w)):
+                raw.update(w[k - m + 1:k + 1] for m in range(1, min(k + 1, top) + 1))
+        kinds = Counter(g[1:] for g in raw if len(g) > 1)
+        counts[x] = {g: n if len(g) == top or (len(g) > 1 and g[0] == " ") else kinds[g] for g, n in raw.items()}
+        for m in range(1, top + 1):
+            once, twice = (sum(len(g) == m and n == v for g, n in counts[x].items()) for v in (1, 2))
+            levels[x, m] = min(0.9, max(0.1, once / max(once + 2 * twice, 1)))
+
+    def p(x, gram):
+        if not gram:
+            return 1 / alphabet
+        followers = [n for g, n in counts[x].items() if len(g) == len(gram) and g[:-1] == gram[:-1]]
+        if not sum(followers):
+            return p(x, gram[1:])
+        d, total = levels[x, len(gram)], sum(followers)
+        return max(counts[x].get(gram, 0) - d, 0) / total + d * sum(n > 0 for n in followers) / total * p(x, gram[1:])
+
+    def bits(x, text):
+        parts = [-math.log2(p(x, w[max(0, k - top + 1):k + 1])) for token in text.lower().split() for w in (f" {r} " for r in chargrams.LETTERS.findall(token))
+                 for k in range(1, len(w))]
+        return sum(parts) / len(parts) if parts else None
+
+    return p, bits, sorted({c for ws in words.values() for w in ws for c in w})
+
+
+TRAINED = {"en": ["the then that", "hat tent a the 2nd", "that theatre"], "de": ["der dann das", "Hut Zelt ein das, die", "über"], "x": ["zzz zz\u4e00 \u4e00z"]}
+
+
+@pytest.mark.parametrize("block", [language_id.BLOCK, 40])
+def test_languages_by_the_definition(spark, block):
+    """Every text's cross-entropy, language and score against the plain definition; in one block, and in many."""
+    asked = ["the tent", "das Zelt der", "zz \u4e00", "THE über-then 12", "unknown words", "", "12 34", "the tent", None]
+    train = [(k, t, x, False) for k, (x, t) in enumerate((x, t) for x, ts in TRAINED.items() for t in ts)]
+    rows = train + [(100 + k // 2, t, None, True) for k, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out boolean")
+    source = texts(df, "doc_id", "text", F.col("held_out"), F.col("lang"))
+    fitted = language_id.fit(source.where("NOT held_out"), block)
+    assert (fitted.blocks > 2) == (block == 40) and fitted.languages == ["de", "en", "x"]
+    p, bits, alphabet = brute_model(TRAINED)
+    for history in ("", " ", " t", "the", "zz"):
+        assert all(sum(p(x, history + c) for c in alphabet) + p(x, history + "?") == pytest.approx(1) for x in TRAINED)
+    got = language_id.identify(df, F.col("held_out"), block=block).where("held_out").collect()
+    want = []
+    for k, t in enumerate(asked):
+        b = [bits(x, t or "") for x in fitted.languages]
+        if b[0] is None:
+            want.append((100 + k // 2, "und", 0.0, None))
+            continue
+        z = np.exp(-(np.array(b) - min(b)) * fitted.temperature)
+        want.append((100 + k // 2, fitted.languages[int(np.argmin(b))], float(1 / z.sum()), min(b)))
+    assert len(got) == len(want)
+    for r, w in zip(sorted(got, key=lambda r: (r.doc_id, r.bits or 0)), sorted(want, key=lambda w: (w[0], w[3] or 0)), strict=True):
+        assert (r.doc_id, r.lang_pred) == w[:2] and r.score == pytest.approx(w[2], abs=1e-9) and (r.bits is None) == (w[3] is None)
+        assert w[3] is None or r.bits == pytest.approx(w[3], abs=1e-9)
+
+
+def test_blocks_are_bounded_whatever_the_languages(spark):
+    """Two hundred languages: no block holds much more than its bound, and a language's own texts are its."""
     rng = np.random.default_rng(3)
-    hot = [" ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(60)) + " " + chr(0x4E00 + k) for k in range(40)]
-    rows = [*[("en", t.encode()) for t in hot], ("xx", "žluťoučký kůň".encode())]
-    train = spark.createDataFrame([(k, b, x) for k, (x, b) in enumerate(rows)], "doc_id long, body binary, lang string")
-    whole, few = language_id.fit(train), language_id.fit(train, grams=400)
-    assert few.languages == whole.languages == ["en", "xx"]
-    assert sum(len(g) for g, _ in few.grams[1:]) <= 400 < sum(len(g) for g, _ in whole.grams[1:])
-    alphabet = len({c for _, b in rows for c in b.decode()} | {" "}) + 1
-    for model in (whole, few):
-        keys, logs = model.grams[1]
-        assert np.allclose(np.exp(logs).sum(axis=0) + (alphabet - len(keys)) * np.exp(model.unseen), 1)
-    at, known = chargrams.find(whole.grams[1][0], few.grams[1][0])
-    # The first order's counts are kinds of characters: what each gram holds besides the back-off share does not change.
-    own = [np.exp(m.grams[1][1][k]) - np.exp(m.unseen) for m, k in ((whole, at), (few, slice(None)))]
-    assert known.all() and np.allclose(own[0], own[1])
-    assert few.words(["žluťoučký"])[0, 1] == pytest.approx(whole.words(["žluťoučký"])[0, 1])
+    rows = []
+    for k in range(200):
+        letters = list(rng.choice([chr(0x61 + j) for j in range(26)] + [chr(0x430 + j) for j in range(32)], 12, replace=False))
+        rows += [(k, " ".join("".join(rng.choice(letters, 5)) for _ in range(12)).encode(), f"l{k:03}") for _ in range(2)]
+    fitted = language_id.fit(spark.createDataFrame(rows, "doc_id long, body binary, lang string"), block=4000, calibration=40)
+    assert len(fitted.languages) == 200 and fitted.blocks > 4
+    sizes = [sum(len(e.lang) for e in fitted.model(k).grams[3:]) for k in range(fitted.blocks)]
+    assert sum(sizes) == fitted.counted.where("m > 2").count() and max(sizes) < 2 * 4000
 
 
 # Operator 1
