@@ -1,27 +1,35 @@
 """Operator 3: licence scans, in DataFrame functions only.
 
-A trained classifier of paragraphs (lines). Features are the presence of word
-1- and 2-grams; a multinomial logistic regression tells the licence families
-of ``NOTICES`` and "none" apart. A paragraph whose best class is a family is a
-finding. It is given to that family when the probability reaches a threshold
-and the paragraph's 2-grams agree with one of the family's templates
-(``SIMILAR`` of the shorter of the two); otherwise it is ``unknown``: a
+A trained classifier of paragraphs. A paragraph is a line with the lines that
+go on with it: comment marks at the start of lines are dropped, and a line is
+joined with the next one when it ends within a sentence and the next begins in
+lower case, or when it has the length of a wrapped line. So a notice that
+is wrapped in a source file is one paragraph, and lines of prose stay apart.
+
+Features are the presence of word 1- and 2-grams; a multinomial logistic
+regression tells the licence families of ``NOTICES`` and "none" apart. A
+paragraph whose best class is a family is a finding. It is given to that family
+when the probability reaches a threshold and the paragraph agrees with one of
+the family's templates: it has ``SIMILAR`` of the 2-grams of the shorter of the
+two, or the word of a template of one word. Otherwise it is ``unknown``: a
 licence, but of no family that the model knows.
 
 Training. Rows are the notices, each alone and after each lead-in, and at most
 ``BACKGROUND`` paragraphs of the documents without a licence word (a bounded
-sample, by a hash of the id). Grams that over ``COMMON`` of the background
-has are no features, so only licence wording carries weight, and a paragraph
-without any feature is "none". The regression on these few hundred different
-rows is fitted on the driver. The threshold is calibrated by leaving out: each
-notice in turn is predicted by a model without it, each family by a model
-without the family; the threshold that best separates the two is used.
-
-Plan. Documents are split to lines and words by native functions, and lines
-that share a word with the features go on: all others are "none" whatever the
-weights. Equal lines are classified once (a group-by, so boilerplate on a
-third of all rows is one row a task); their grams meet the weights and the
-templates (fixed small tables) in joins, and the findings return by the line.
+sample: those with the smallest hashes of id and text). Grams that over
+``COMMON`` of the background has are no features, so only licence wording
+carries weight, and a paragraph without any feature is "none". The regression
+on these few hundred different rows is fitted on the driver. The threshold is
+calibrated by leaving out: each notice is predicted by a model without it, each
+family by a model without the family, all with the steps of the final model;
+the least threshold that best separates the two is used.
+
+Plan. Documents are split to paragraphs and words by native functions, and
+paragraphs that share a word with the features go on: all others are "none"
+whatever the weights. Equal paragraphs are classified once (a group-by, so
+boilerplate on a third of all rows is one row a task); their grams meet the
+weights and the templates (fixed small tables) in joins, and the findings
+return by the text.
 
 Edge cases. Null and empty texts and lines have no findings. Rows with a null
 id and repeated rows each get a row of their own in ``scan``. An empty table
@@ -40,7 +48,7 @@ from pyspark.sql import functions as F
 
 from listinglab.llm.common import save
 
-BACKGROUND, COMMON, SIMILAR = 2000, 0.01, 0.5
+BACKGROUND, COMMON, SIMILAR, STEPS = 2000, 0.01, 0.5, 200
 NONE, UNKNOWN = "none", "unknown"
 
 # Short public notices by family, and lead-ins.
@@ -80,11 +88,33 @@ NOTICES: dict[str, tuple[str, ...]] = {
 }
 LEADS = ("", "Licensed under ", "Released under ", "This work is licensed under ", "This file is distributed under ", "This program is free software under ",
          "Code in this repository is available under the terms of ")
+#: Short forms: "License: MIT" and the like are notices, too.
+SHORT = {"agpl-3.0": "AGPL-3.0", "apache-2.0": "Apache-2.0", "bsd": "BSD", "cc0-1.0": "CC0", "gpl-2.0": "GPL-2.0", "gpl-3.0": "GPL-3.0", "isc": "ISC", "lgpl": "LGPL",
+         "mit": "MIT", "mpl-2.0": "MPL-2.0"}
+#: A line of so many characters may be wrapped, one of more is not.
+WRAPPED, LONGEST = 50, 120
 #: Words that keep a paragraph out of the background sample.
 _LICENCE_WORD = r"(?i)licen[cs]e|copyright|rights reserved|public domain|warrant"
 _SPLIT = r"[^\p{L}\p{N}.+]+|\.(?![0-9])"
 
 
+def paragraphs_of(text: Column) -> Column:
+    """The paragraphs of a text, in order."""
+    plain = F.regexp_replace(text, r"(?m)^[ \t]*(?:[#;%*]+|//+|--+|/\*+)[ \t]*|\r$|[ \t]+$", "")
+    joined = F.regexp_replace(plain, r"(?<=[\p{L}\p{N},;)\"'])\n(?=[a-z0-9(\"'])", " ")
+    return F.split(F.regexp_replace(joined, rf"(?m)^([^\n]{{{WRAPPED},{LONGEST}}}[\p{{L}}\p{{N}},)])\n(?=[^\s])", "$1 "), "\n")
+
+
+def notices(family: str) -> tuple[str, ...]:
+    return NOTICES[family] + ((f"License: {SHORT[family]}",) if family in SHORT else ())
+
+
+def _template(notice: str) -> list[str]:
+    """What a paragraph must share with a notice: its 2-grams, or its only word."""
+    grams = _plain_grams(notice)
+    return sorted(g for g in grams if " " in g) or sorted(grams)
+
+
 def words_of(line: Column) -> Column:
     """Lower-cased words; a point stays within a number."""
     return F.filter(F.split(F.lower(line), _SPLIT), lambda w: w != "")
@@ -111,7 +141,7 @@ class Model(NamedTuple):
     threshold: float
 
 
-def _fit(rows: list[frozenset[str]], y: np.ndarray, share: np.ndarray, grams: list[str], classes: int, ridge: float = 0.02, steps: int = 250) -> tuple[np.ndarray, np.ndarray]:
+def _fit(rows: list[frozenset[str]], y: np.ndarray, share: np.ndarray, grams: list[str], classes: int, ridge: float = 0.02, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression on presence (Adam); ``share``: the weight of each row."""
     place = {g: k for k, g in enumerate(grams)}
     sparse = [[place[g] for g in r if g in place] for r in rows]
@@ -149,7 +179,7 @@ def train(background: list[str], common: float = COMMON) -> Model:
     classes = [*sorted(NOTICES), NONE]
     rows, y, notice = [], [], []
     for k, family in enumerate(sorted(NOTICES)):
-        for n, text in enumerate(NOTICES[family]):
+        for n, text in enumerate(notices(family)):
             for lead in LEADS:
                 rows.append(_plain_grams(lead + text))
                 y.append(k)
@@ -177,23 +207,22 @@ def train(background: list[str], common: float = COMMON) -> Model:
     marks = np.array([*notice, *[(-1, -1)] * len(merged)])
     for k, family in enumerate(sorted(NOTICES)):
         without = marks[:, 0] != k
-        w, b = _fit([r for r, s in zip(everything, without, strict=True) if s], truth[without], share[without], grams, len(classes), steps=60)
+        w, b = _fit([r for r, s in zip(everything, without, strict=True) if s], truth[without], share[without], grams, len(classes))
         outside += [_probabilities(r, place, w, b)[:-1].max() for r, m in zip(rows, notice, strict=True) if m[0] == k]
-        odd = len(NOTICES[family]) - 1
-        fold = ~((marks[:, 0] == k) & (marks[:, 1] == odd))
-        w, b = _fit([r for r, s in zip(everything, fold, strict=True) if s], truth[fold], share[fold], grams, len(classes), steps=60)
-        inside += [_probabilities(r, place, w, b)[k] for r, m in zip(rows, notice, strict=True) if m == (k, odd)]
-        inside += [_probabilities(r, place, weights, bias)[k] for r, m in zip(rows, notice, strict=True) if m[0] == k]
+        for n in range(len(notices(family))):
+            fold = ~((marks[:, 0] == k) & (marks[:, 1] == n))
+            w, b = _fit([r for r, s in zip(everything, fold, strict=True) if s], truth[fold], share[fold], grams, len(classes))
+            inside += [_probabilities(r, place, w, b)[k] for r, m in zip(rows, notice, strict=True) if m == (k, n)]
     known, other = np.array(inside), np.array(outside)
-    threshold = max(np.linspace(0.2, 0.9, 29), key=lambda t: (known >= t).mean() + (other < t).mean())
+    threshold = max(np.linspace(0.1, 0.98, 89), key=lambda t: (known >= t).mean() + (other < t).mean())
     return Model(classes, grams, weights, bias, float(threshold))
 
 
 def background(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = BACKGROUND) -> list[str]:
-    """Paragraphs without a licence word; at most ``rows``, lines of at most 2,000 characters."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.split(text_col, "\n")).alias("line"))
-    plain = lines.where(~F.col("line").rlike(_LICENCE_WORD) & F.length("line").between(1, 2000) & (F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0))
-    return [r.line for r in plain.select("line").limit(rows).collect()]
+    """Paragraphs without a licence word, of at most 2,000 characters; the ``rows`` with the smallest hashes of id and text."""
+    each = docs.select(F.col(id_col).alias("doc_id"), F.explode(paragraphs_of(F.col(text_col))).alias("text"))
+    plain = each.where(F.length("text").between(1, 2000)).withColumn("h", F.xxhash64("doc_id", "text")).where(~F.col("text").rlike(_LICENCE_WORD))
+    return [r.text for r in plain.orderBy("h", "text").select("text").limit(rows).collect()]
 
 
 def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -201,12 +230,12 @@ def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per finding: row, doc_id, line (from 0), text, family, probability, similarity."""
+    """Per finding: row, doc_id, paragraph (from 0), text, family, probability, similarity."""
     spark = docs.sparkSession
     model = model or train(background(docs, id_col, text_col))
     vocabulary = F.array(*[F.lit(g) for g in model.grams if " " not in g])
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.split(text_col, "\n").alias("lines"))
-    source = numbered.select("row", "doc_id", F.posexplode("lines").alias("line", "text"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), paragraphs_of(F.col(text_col)).alias("paragraphs"))
+    source = numbered.select("row", "doc_id", F.posexplode("paragraphs").alias("paragraph", "text"))
     lines = save(source.where(F.arrays_overlap(words_of(F.col("text")), vocabulary)), "licence-lines")
 
     classes = len(model.classes)
@@ -220,21 +249,21 @@ def scan(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", te
     named = sums.select("text", F.element_at(F.array(*map(F.lit, model.classes)), F.array_position(scores, top).cast("int")).alias("best"),
                         (1.0 / F.aggregate(scores, F.lit(0.0), lambda a, z: a + F.exp(z - top))).alias("probability")).where(F.col("best") != NONE)
 
-    templates = [(f, n, sorted(g for g in _plain_grams(t) if " " in g)) for f, ts in NOTICES.items() for n, t in enumerate(ts)]
+    templates = [(f, n, _template(t)) for f in NOTICES for n, t in enumerate(notices(f))]
     pairs = _table(spark, [(g, f, n, len(gs)) for f, n, gs in templates for g in gs], "gram string, family string, template int, size int")
-    mine = named.join(different, "text").select("text", "best", "probability", F.explode(F.filter("grams", lambda g: F.contains(g, F.lit(" ")))).alias("gram"),
-                                                F.size(F.filter("grams", lambda g: F.contains(g, F.lit(" ")))).alias("own"))
+    mine = named.join(different, "text").select(
+        "text", "best", "probability", F.explode("grams").alias("gram"), F.greatest(F.size(F.filter("grams", lambda g: F.contains(g, F.lit(" ")))), F.lit(1)).alias("own"))
     agree = mine.join(F.broadcast(pairs), [mine["gram"] == pairs["gram"], mine["best"] == pairs["family"]]).groupBy("text", "template").agg(
         (F.count(F.lit(1)) / F.least(F.first("own"), F.first("size"))).alias("part")).groupBy("text").agg(F.max("part").alias("similarity"))
     # Read again for each line that has the text; few different texts are findings.
     found = save(named.join(agree, "text", "left").select(
         "text", "probability", F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
         F.when((F.col("probability") >= model.threshold) & (F.col("similarity") >= SIMILAR), F.col("best")).otherwise(F.lit(UNKNOWN)).alias("family")), "licence-texts")
-    return lines.join(found, "text").select("row", "doc_id", "line", "text", "family", "probability", "similarity")
+    return lines.join(found, "text").select("row", "doc_id", "paragraph", "text", "family", "probability", "similarity")
 
 
 def document_licences(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document with a finding: doc_id, n_lines, families (different ones, sorted, comma-joined), probability (the least)."""
+    """Per document with a finding: doc_id, n_lines (paragraphs), families (different ones, sorted, comma-joined), probability (the least)."""
     return scan(docs, model, id_col, text_col).groupBy("row", "doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.concat_ws(",", F.array_sort(F.collect_set("family"))).alias("families"),
         F.min("probability").alias("probability"), F.min("similarity").alias("similarity")).drop("row")

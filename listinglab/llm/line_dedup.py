@@ -19,8 +19,9 @@ else, after comparison of its bytes. What overlapping chunks cut is cut once;
 the first occurrence of each line in the corpus is in no chunk that goes.
 
 Plan. One scan counts 64-bit chunk hashes, combined before the shuffle, and
-leaves those that occur again. They set bits in a filter of ``FILTER_BITS``
-(two MB, its bound at any input size), which goes to the second scan: it
+leaves those that occur again. They set bits in a filter sized from their
+number (``CHUNK_BITS`` each, so one chunk in 16 passes by chance, up to 64 MB,
+its bound at any input size), which goes to the second scan: it
 emits the places of the chunks whose hash is in the filter, each with the
 hashes of its lines, and the bytes of each line once. A group-by on line hash
 and bytes is the comparison: where no hash has two contents, chunks of the
@@ -50,12 +51,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listinglab.llm.common import save, slices, texts
+from listinglab.llm.common import drop, save, slices, texts
 
 LONG_LINE, MIN_LINES, MIN_WORDS = 50, 2, 10
 #: A sentence of over LONG_LINE words is cut at one word in CUT.
 CUT = 8
-FILTER_BITS = 24
+#: The filter: bits for each repeated chunk, and the exponents of the least and the greatest size (8 KB to 64 MB).
+CHUNK_BITS, LEAST_BITS, MOST_BITS = 16, 16, 29
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _UNMIX = np.uint64(pow(int(_MIX), -1, 1 << 64))
@@ -190,11 +192,15 @@ def _places(docs: DataFrame, held, bits: int, unit_bits: int, whole: bool) -> Da
     return docs.mapInArrow(run, schema)
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS, unit_bits: int = 64) -> DataFrame:
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None, unit_bits: int = 64) -> DataFrame:
     """Per document with something to remove: doc_id, tag (hash of its text), chunks (their number), spans (start, end; bytes, in order, apart)."""
     spark = docs.sparkSession
     source = texts(docs, id_col, text_col)
-    held = spark.sparkContext.broadcast(_filter(_again(source, unit_bits), bits).tobytes())
+    again = save(_again(source, unit_bits), "line-again")
+    if bits is None:
+        bits = min(MOST_BITS, max(LEAST_BITS, (CHUNK_BITS * max(1, again.count()) - 1).bit_length()))
+    held = spark.sparkContext.broadcast(_filter(again, bits).tobytes())
+    drop(again)
     tagged = source.withColumn("tag", F.xxhash64("body"))
     found = save(_places(tagged, held, bits, unit_bits, False), "line-places")
     units = found.select(F.explode("fresh").alias("f")).select("f.u", "f.unit").distinct()
@@ -224,7 +230,7 @@ def _without(body, spans):
     return F.array_join(parts, "")
 
 
-def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = FILTER_BITS,
+def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None,
                          counts: bool = False, unit_bits: int = 64) -> DataFrame:
     """The documents without repeated chunks; all columns. ``counts``: instead (doc_id, text, chunks_removed, bytes_removed)."""
     columns = docs.columns
