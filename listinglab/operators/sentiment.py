@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import review_text, sentiment_bucket
+from .ordinal import fit_ordinal
 
 TEXT = "_all_text"
 
@@ -44,6 +45,32 @@ def fit_sentiment(labelled: DataFrame, label_col: str = "label", num_features: i
     return Pipeline(stages=[tok, tf, idf, lr]).fit(data)
 
 
+def fit_ordinal_sentiment(labelled: DataFrame, label_col: str = "label", num_features: int = 1 << 12, classes: int = 5, weight_col: str | None = None,
+                          steps: int = 60):
+    """The same features under the ordinal model of :mod:`.ordinal`: stars are ordered, and one weight a word tells low from high."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+
+    tok = RegexTokenizer(inputCol=TEXT, outputCol="_tokens", pattern=r"(?U)[^\p{L}\p{N}_]+", minTokenLength=1)
+    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
+    idf = IDF(inputCol="_tf", outputCol="_weighted", minDocFreq=1)
+    unit = Normalizer(inputCol="_weighted", outputCol="_features")
+    data = with_text(labelled)
+    prepare: PipelineModel = Pipeline(stages=[tok, tf, idf, unit]).fit(data)
+    model = fit_ordinal(prepare.transform(data), classes, label=label_col, weight=weight_col, size=num_features, steps=steps)
+    return OrdinalPipeline(prepare, model)
+
+
+class OrdinalPipeline:
+    """Text to class: the fitted text features, then the ordinal model."""
+
+    def __init__(self, prepare, model):
+        self.prepare, self.model = prepare, model
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.prepare.transform(df)).drop("_weighted")
+
+
 def enrich_sentiment(df: DataFrame, model, out: str = "Sentiment") -> DataFrame:
     """Add ``Sentiment`` from the fitted pipeline."""
     scored = model.transform(with_text(df))
