@@ -60,9 +60,9 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg",
         "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "§": "s", "µ": "u"}
 SEPARATORS = " .-_*~'`·,:;/\\=^\"#%&"
 # Channel costs in natural-log units.
-COST_LEET, COST_REPEAT, COST_DROP, COST_JOIN, COST_END, COST_WILD, COST_FOLD = 1.0, 0.7, 4.0, 0.3, 2.0, 4.0, 1.0
-# A symbol that can be a letter is seldom noise, and a letter written twice is mostly meant twice.
-COST_LOST, COST_SINGLE = 9.0, 1.6
+COST_LEET, COST_REPEAT, COST_DROP, COST_JOIN, COST_END, COST_WILD, COST_FOLD = 1.0, 0.7, 4.0, 0.3, 2.0, 1.0, 1.0
+# A symbol that can be a letter is seldom noise, a mask seldom a mere separator, and a letter written twice is mostly meant twice.
+COST_LOST, COST_MASK, COST_SINGLE = 9.0, 5.0, 1.6
 
 _SYMBOLS = 28
 _CLASS = np.full(256, 27, np.uint8)
@@ -124,7 +124,7 @@ def _alternatives(char: str, times: int, spaced: bool) -> list[tuple[str, float]
         if times > 1:
             out.append((c * 2, COST_LEET))
     if char in SEPARATORS:
-        out += [("", COST_JOIN), (" ", COST_END)]
+        out += [("", COST_MASK if char == "*" else COST_JOIN), (" ", COST_END)]
         if char == "*":
             out += [(chr(97 + k) * times, COST_WILD) for k in range(26)]
     elif not char.isalpha():
@@ -139,7 +139,8 @@ def decode(token: str, model: CharModel, spaced: bool = False) -> list[str]:
     """The words that a token most probably stands for."""
     best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     cost_of = model.list
-    for char, run in groupby(token):
+    # Masks next to each other are a letter each.
+    for (char, _), run in groupby(enumerate(token), lambda e: (e[1], e[0] if e[1] == "*" else -1)):
         options = [(s, [symbol(c) for c in s], c) for s, c in _alternatives(char, sum(1 for _ in run), spaced)]
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, path) in best.items():
@@ -169,7 +170,19 @@ def suspicious(token: str) -> str | None:
     if core.isalpha():
         return core if _THRICE.search(core) else None
     letters = sum(map(str.isalpha, core))
-    return core if letters and letters + sum(c in LEET for c in core) >= 3 else None
+    # A mask stands for a letter; in front of one, and behind none of the stripped noise.
+    return core if letters and letters + sum(c in LEET or c == "*" for c in core) >= 3 else None
+
+
+def plainer(token: str) -> str | None:
+    """What a token looks like without doubled letters and accents, or read as symbols for letters; none when that is the token itself."""
+    core = token.strip(_AROUND)
+    if not any(map(str.isalpha, core)):
+        told = len(core) >= 3 and not core.isdigit() and all(c in LEET for c in core)
+        return "".join(LEET[c][0] for c in core) if told else None
+    folded = core if core.isascii() else "".join(c for c in unicodedata.normalize("NFKD", core) if not unicodedata.combining(c))
+    folded = _DOUBLE.sub(r"\1", folded)
+    return folded if folded != core else None
 
 
 class Model(NamedTuple):
@@ -230,14 +243,17 @@ class _Reader:
         words = [self._words(t) for t in new]
         at, feature = self._pairs(words)
         if self.weights is not None:
-            # Doubled letters: where the collapsed word weighs more than the plain one, the lattice decides.
-            double = [k for k, t in enumerate(new) if _DOUBLE.search(t) and not t.startswith("\x00")]
+            # Doubled letters, accents and symbols alone: where the plainer word weighs more, the lattice decides.
+            other = {k: p for k, t in enumerate(new) if not t.startswith("\x00") and (p := plainer(t))}
+            double = list(other)
             plain = np.bincount(at, self.weights[feature], len(new))
-            at2, feature2 = self._pairs([letter_runs(_DOUBLE.sub(r"\1", new[k])) for k in double])
+            at2, feature2 = self._pairs([letter_runs(other[k]) for k in double])
             more = np.bincount(at2, self.weights[feature2], len(double)) - plain[double] if double else np.empty(0)
             if len(again := [double[k] for k in np.flatnonzero(more > 1)]):
                 for k in again:
-                    words[k] = words[k] + decode(new[k].strip(_AROUND), self.chars)
+                    core = new[k].strip(_AROUND)
+                    # Symbols alone hold no letter that could confirm another reading.
+                    words[k] = words[k] + ([other[k]] if not any(map(str.isalpha, core)) else decode(core, self.chars))
                 at, feature = self._pairs(words)
         self.known.update(dict.fromkeys(new))
         if not len(at):
@@ -317,7 +333,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = FI
     """From docs (doc_id, body) and labels (doc_id, label), both without what is held out of the fit."""
     counts = char_counts(docs)
     found, share = _sample(docs, labels, label, rows)
-    sample = save(found, "toxic-sample")
+    # A few thousand rows of one or two files: dealt over the cores, as reading them takes time.
+    sample = save(found.repartition(max(1, docs.sparkSession.sparkContext.defaultParallelism)), "toxic-sample")
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not all(sizes.get(y) for y in (0, 1)):
         return Model(counts, np.empty(0, np.uint64), np.empty(0), float(np.log(share / (1 - share))) if 0 < share < 1 else (-30.0, 30.0)[share >= 1])

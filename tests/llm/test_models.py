@@ -226,6 +226,22 @@ def test_restoring(chars, noisy, plain):
     assert "".join(toxicity.decode(plain, chars, spaced=True)) == plain
 
 
+def test_masks_accents_and_symbols(chars):
+    """Disguises that hold no digit: masked letters reach the lattice; accented and symbol words do where the plainer word weighs."""
+    assert [toxicity.suspicious(t) for t in ("s**t", "d**k", "id**t", "id*ot!")] == ["s**t", "d**k", "id**t", "id*ot"]
+    assert [toxicity.suspicious(t) for t in ("de***", "que&&&", "word", "12", "x%%%")] == [None] * 5
+    assert [toxicity.decode(t, chars) for t in ("st*pid", "m*ron", "l*ser")] == [["stupid"], ["moron"], ["loser"]] and len(toxicity.decode("s**t", chars)[0]) == 4
+    assert [toxicity.plainer(t) for t in ("stüpid", "@$$", "idiiot", "455", "word", "$$", "ñandú")] == ["stupid", "ass", "idiot", None, None, None, "nandu"]
+    words = ["stupid", "idiot", "ass"]
+    g = chargrams.Grams(words, toxicity.LONG)
+    keys = np.unique(np.concatenate([g.hash[m][g.at(m)] + np.uint64(m) for m in range(toxicity.SHORT, toxicity.LONG + 1)]))
+    reader = toxicity._Reader(chars, keys, np.ones(len(keys)))
+    plain = [set(f.tolist()) for f in reader.features_of([w.encode() for w in words])]
+    for body, k in (("you stüpid man", 0), ("ïdìôt", 1), ("what an @$$ he is", 2), ("stuupid!", 0)):
+        assert plain[k] <= set(reader.features_of([body.encode()])[0].tolist()), body
+    assert not len(reader.features_of(["für über 455 ñandú".encode()])[0])
+
+
 def test_viterbi_finds_the_best_path(chars):
     """Against all paths of short tokens."""
     from itertools import groupby, product
