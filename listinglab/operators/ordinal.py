@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import ship_code, work_path
 
 BLOCK = 2048
 
@@ -68,37 +68,40 @@ class OrdinalModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with the most probable class."""
+        ship_code(df.sparkSession)
         weights, t = self.weights, thresholds(self.raw)
 
         @F.pandas_udf("int")
-        def classify(index: pd.Series, value: pd.Series) -> pd.Series:
-            s = np.array([weights[np.asarray(i, np.int64)] @ np.asarray(v) for i, v in zip(index, value, strict=True)]) if len(index) else np.empty(0)
+        def classify(x: pd.DataFrame) -> pd.Series:
+            # A vector comes as its parts.
+            s = np.array([weights[i] @ v for i, v in zip(x["indices"], x["values"], strict=True)]) if len(x) else np.empty(0)
             below = np.column_stack([np.zeros(len(s)), _sigmoid(t[None, :] - s[:, None]), np.ones(len(s))])
             return pd.Series(np.diff(below, axis=1).argmax(axis=1), dtype="int32")
 
-        x = _sparse(df, self.features)
-        return x.withColumn(self.prediction, classify("_index", "_value")).drop("_index", "_value")
+        return df.withColumn(self.prediction, classify(self.features))
 
 
 def _sparse(df: DataFrame, features: str) -> DataFrame:
-    """With ``_index`` and ``_value``: the entries of a sparse ML vector."""
-    from pyspark.ml.functions import vector_to_array
+    """(index, value, y, w): the entries of sparse ML vectors, with label and weight."""
+    def entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = pa.concat_arrays([batch.column(0)])
+            yield pa.RecordBatch.from_arrays([x.field("indices"), x.field("values"), batch.column(1), batch.column(2)], ["index", "value", "y", "w"])
 
-    # The entries that are not zero, from the dense view; its length is the number of hashed features.
-    dense = vector_to_array(features)
-    pairs = F.filter(F.transform(dense, lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda p: p["v"] != 0)
-    return df.withColumn("_pairs", pairs).withColumn("_index", F.col("_pairs.i")).withColumn("_value", F.col("_pairs.v")).drop("_pairs")
+    return df.select(features, "y", "w").mapInArrow(entries, "index array<int>, value array<double>, y int, w double")
 
 
 def fit_ordinal(df: DataFrame, classes: int, features: str = "_features", label: str = "label", weight: str | None = None, size: int | None = None,
                 ridge: float = 1e-4, steps: int = 60, rate: float = 0.1, prediction: str = "_class") -> OrdinalModel:
-    """Fit on rows with a class number (0 .. classes - 1) as label; ``weight`` evens out classes of very different sizes."""
-    source = _sparse(df.where(F.col(label).isNotNull()), features).select(
-        "_index", "_value", F.col(label).cast("int").alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"))
+    """Fit on sparse vectors with a class number (0 .. classes - 1) as label; ``weight`` evens out classes of very different sizes."""
+    ship_code(df.sparkSession)
+    labelled = df.where(F.col(label).isNotNull()).select(
+        features, F.col(label).cast("int").alias("y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"))
+    source = _sparse(labelled, features)
     path = work_path(df.sparkSession, "ordinal")
     source.write.parquet(path)
     rows = df.sparkSession.read.schema(source.schema).parquet(path)
-    shares = rows.agg(F.sum("w").alias("n"), F.max(F.array_max("_index")).alias("last"), *[F.sum(F.when(F.col("y") <= k, F.col("w")).otherwise(0.0)).alias(f"c{k}") for k in range(classes - 1)]).first()
+    shares = rows.agg(F.sum("w").alias("n"), F.max(F.array_max("index")).alias("last"), *[F.sum(F.when(F.col("y") <= k, F.col("w")).otherwise(0.0)).alias(f"c{k}") for k in range(classes - 1)]).first()
     if not shares["n"]:
         raise ValueError("no rows with a label")
     size = size or (shares["last"] or 0) + 1

@@ -45,8 +45,8 @@ def fit_sentiment(labelled: DataFrame, label_col: str = "label", num_features: i
     return Pipeline(stages=[tok, tf, idf, lr]).fit(data)
 
 
-def fit_ordinal_sentiment(labelled: DataFrame, label_col: str = "label", num_features: int = 1 << 12, classes: int = 5, weight_col: str | None = None,
-                          steps: int = 60):
+def fit_ordinal_sentiment(labelled: DataFrame, label_col: str = "label", num_features: int = 1 << 18, classes: int = 5, weight_col: str | None = None,
+                          steps: int = 100):
     """The same features under the ordinal model of :mod:`.ordinal`: stars are ordered, and one weight a word tells low from high."""
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -57,7 +57,7 @@ def fit_ordinal_sentiment(labelled: DataFrame, label_col: str = "label", num_fea
     unit = Normalizer(inputCol="_weighted", outputCol="_features")
     data = with_text(labelled)
     prepare: PipelineModel = Pipeline(stages=[tok, tf, idf, unit]).fit(data)
-    model = fit_ordinal(prepare.transform(data), classes, label=label_col, weight=weight_col, size=num_features, steps=steps)
+    model = fit_ordinal(prepare.transform(data), classes, label=label_col, weight=weight_col, size=num_features, steps=steps, rate=0.6)
     return OrdinalPipeline(prepare, model)
 
 

@@ -386,8 +386,28 @@ def m17_score(spark, sf):
     return named.select(F.col("Airline").alias("airline"), "Airline_id", "place", "Arrival_Location_Code", "requests", "prices")
 
 
-@register("m18_sentiment", "SELECT count(*) AS tested, true AS beats_larger_class FROM documents WHERE doc_id % 5 = 0 AND lang IN ('de', 'en', 'es', 'fr')")
+#: Words of one to five stars (of this fixture alone), set behind each sentence of a review.
+_STAR_WORDS = ("terrible awful", "bad poor", "okay average", "good nice", "excellent wonderful")
+
+
+@register("m18_sentiment", "SELECT CASE WHEN doc_id % 5 <= 2 THEN 'Negative' WHEN doc_id % 5 = 3 THEN 'Neutral' ELSE 'Positive' END AS stars_say, count(*) AS tested, "
+                           "true AS mostly_agree FROM documents WHERE doc_id % 97 <> 5 AND doc_id % 3 = 0 GROUP BY ALL")
 def m18_sentiment(spark, sf):
+    """Reviews whose words follow their stars: the ordinal model, fitted on two thirds, gives the last third the Sentiment that its stars say in seven of ten and more, of each Sentiment."""
+    from ..functions.text import bubbles, sentiment_bucket
+
+    r = QR.reviews(spark, sf).select("doc_id", "Title", _q("Full Review"), bubbles(F.col("Rating")).alias("stars")).where("stars IS NOT NULL")
+    words = F.element_at(F.array(*map(F.lit, _STAR_WORDS)), F.col("stars").cast("int"))
+    text = F.concat(F.replace(_q("Full Review"), F.lit(". "), F.concat(F.lit(" "), words, F.lit(". "))), F.lit(" "), words)
+    rows = cut_lineage(r.select("doc_id", "Title", text.alias("Full Review"), (F.col("stars") - 1).alias("label")))
+    model = SE.fit_ordinal_sentiment(rows.where("doc_id % 3 > 0"))
+    out = SE.enrich_sentiment(rows.where("doc_id % 3 = 0"), model)
+    said = sentiment_bucket(F.col("label").cast("int"))
+    return out.groupBy(said.alias("stars_say")).agg(F.count(F.lit(1)).alias("tested"), (F.avg((F.col("Sentiment") == said).cast("double")) > 0.7).alias("mostly_agree"))
+
+
+@register("m18_text_classes", "SELECT count(*) AS tested, true AS beats_larger_class FROM documents WHERE doc_id % 5 = 0 AND lang IN ('de', 'en', 'es', 'fr')")
+def m18_text_classes(spark, sf):
     """The text classifier on a class that the texts tell (their language): on the fifth that it did not see, its
     accuracy is above the larger class's share."""
     place = F.array_position(F.array(*map(F.lit, ("de", "en", "es", "fr"))), F.col("lang")).cast("int")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,6 +89,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, as ``--py-files`` would, once for each context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_listinglab_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._listinglab_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table (parquet)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..session import ship_code
+
 # Tags and classes that mark the parts of the source's pages, and the missing default.
 REVIEW, SERVICES, SERVICE = ("div", "lwGaE A"), ("div", "JxiyB f"), ("div", "msVPq")
 RATING, REVIEW_TITLE, REVIEW_TEXT = ("svg", "UctUV d H0"), ("div", "biGQs _P fiohW uuBRH"), ("span", "JguWG")
@@ -141,6 +143,7 @@ def _rows(pages: DataFrame, id_col: str, html_col: str, fields: list[T.StructFie
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(ids, pa.int32())), *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:], strict=True))], names=arrow.names)
 
+    ship_code(pages.sparkSession)
     return pages.select(f"`{id_col}`", f"`{html_col}`").mapInArrow(run, schema)
 
 

@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_code
+
 WHOLE, HEAD, TAIL = 0, 1, 2
 #: Rows that leave a worker together.
 ROWS = 512
@@ -121,6 +123,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(path, record): the text of every record but the headers."""
+    ship_code(spark)
     lines = _lines(spark, path)
     inside = split_states(lines).where("inside").select("path", "start")
     states = sorted(_split_hash(r.path, r.start) for r in inside.toLocalIterator())
