@@ -616,6 +616,19 @@ def a13_value_ratios(spark, sf):
     return A.value_ratios(clean(spark, sf), _PROFILE_COLS)
 
 
+#: The columns whose values have one text form in both engines.
+_EVERY = _EPROF | {"Departure Location": "e_dep_loc", "Arrival Location": "e_arr_loc", "Departure Location Code": "e_dep_code", "Arrival Location Code": "e_arr_code",
+                   "Passenger Type": "e_passenger", "Number of Tickets": "e_tickets", "Price per Ticket": "e_price", "Taxes & Fees": "e_tax", "Total Price": "e_total"}
+
+
+@register("a13_all_values", with_listing(
+    "SELECT column_name, value, round(n * 100.0 / sum(n) OVER (PARTITION BY column_name), 1)::DOUBLE AS percent FROM (" + " UNION ALL ".join(
+        f"SELECT '{k}' AS column_name, CAST({v} AS VARCHAR) AS value, count(*) AS n FROM cl WHERE {v} IS NOT NULL GROUP BY ALL" for k, v in _EVERY.items()) + ")"))
+def a13_all_values(spark, sf):
+    """Value percentages of every text and integer column."""
+    return A.value_ratios(clean(spark, sf), list(_EVERY))
+
+
 _NUM = {"Total Price": "e_total", "Flight Duration": "e_duration", "Carry-on Baggage": "e_carry"}
 
 
