@@ -45,11 +45,15 @@ ASIDE_TAGS = frozenset("aside footer button select object dialog menu head searc
 AROUND_TAGS = frozenset("nav form header".split())
 ASIDE_ROLES = frozenset("complementary contentinfo dialog alertdialog search".split())
 AROUND_ROLES = frozenset("navigation banner alert menu menubar toolbar form".split())
-ASIDE_WORDS = frozenset("comment comments commentlist disqus respond replies sidebar aside related recommended footer".split())
+ASIDE_WORDS = frozenset("comment comments commentlist disqus respond replies sidebar aside rail related recommended footer".split())
 AROUND_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs masthead ad ads advert adverts advertisement advertising adsense banner sponsor "
     "sponsored promo alert cookie cookies consent disclaimer gdpr notice notices notification notifications popup modal overlay newsletter "
     "subscribe subscription signup login search social share sharing pagination pager toolbar skip widget widgets".split())
+#: The same words run together with others: what such a word begins or ends with.
+AROUND_STARTS = ("advert", "adbanner", "adblock", "adbox", "adslot", "adspace", "adunit", "breadcrumb", "cookie", "newsletter", "popup", "promo", "sponsor")
+AROUND_ENDS = ("nav", "navbar", "navigation", "menu", "notice", "adverts")
+ASIDE_STARTS, ASIDE_ENDS = ("sidebar", "footer"), ("sidebar", "footer", "comments")
 #: "header" is a word of the article's own parts beside one of these.
 ARTICLE_WORDS = frozenset("article content entry post story text".split())
 #: A class name with one of these says what else the page has or lacks.
@@ -99,7 +103,16 @@ def name64(*parts: object) -> int:
 
 
 def _words(value: str) -> frozenset[str]:
-    return frozenset(w.lower() for w in _CAMEL.split(value) if w)
+    found = {w.lower() for w in _CAMEL.split(value) if w}
+    # A word that begins or ends with a telling one says the same.
+    for w in tuple(found):
+        if w.startswith(ASIDE_STARTS) or w.endswith(ASIDE_ENDS):
+            found.add("sidebar")
+        elif w.startswith(AROUND_STARTS) or w.endswith(AROUND_ENDS):
+            found.add("menu")
+        elif w.endswith("header"):
+            found.add("header")
+    return frozenset(found)
 
 
 def _place(parent: Place, name: str, named: list[tuple[str, str, str, str]]) -> Place:

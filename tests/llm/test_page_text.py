@@ -47,6 +47,13 @@ def test_marks():
     assert own("<p>In a sentence about cookies and menus, nothing is lost.</p>") == "In a sentence about cookies and menus, nothing is lost."
 
 
+def test_names_run_together():
+    for name in ("topnav", "siteMenu", "cookiebar", "sitenotice", "adslot-3", "leftsidebar", "pagefooter", "siteheader", "usercomments", "promobox", "right-rail", "post-comments"):
+        assert own(f"<body><div class='{name}'><p>Not this.</p></div><div><p>But this.</p></div></body>") == "But this.", name
+    for name in ("commentary", "post-header", "entry-content", "adventure", "story-text", "no-sidebar", "footnotes", "shared-history"):
+        assert own(f"<body><div class='{name}'><p>This, too.</p></div><div><p>And this.</p></div></body>") == "This, too.\n\nAnd this.", name
+
+
 def story(k):
     return [f"Paragraph {n} of story {k} tells of number {k * 31 + n} at some length, as stories do." for n in range(4)]
 
