@@ -27,7 +27,8 @@ scan. So nothing is cut away, and more entries cost more scans.
 Scoring. A worker keeps the scores of the character windows it has seen (a
 bounded number of cells), so most places cost one look-up.
 
-Calibration reads at most ``CALIBRATION`` training rows, by a hash of the id.
+Calibration scores all training rows: the likelihoods of the temperatures are
+averages over them, the thresholds exact quantiles.
 
 Edge cases. A null text or one without a letter (Unicode L) is ``und`` with
 score 0, and so is every text when there is nothing to learn from. Rows with a
@@ -53,8 +54,9 @@ from pyspark.sql import types as T
 
 from listinglab.llm.chargrams import Grams, find, letter_runs
 from listinglab.llm.common import bucket, save, slices, texts
+from listinglab.operators.aggregate import quantiles_of_counts
 
-ORDER, CALIBRATION = 5, 4000
+ORDER = 5
 #: Entries (gram and language) of a block.
 BLOCK = 1 << 20
 #: Different words that a worker holds, and cells (window and language) of its window table.
@@ -373,29 +375,25 @@ def _entropies(source: DataFrame, fitted: Fitted, *carry: str) -> DataFrame:
     return found.select(*carry, (bits if wide else F.when(F.col("sums").isNotNull(), F.array().cast("array<double>"))).alias("bits"))
 
 
-def _calibrated(fitted: Fitted, sample: list[tuple[str, list[float]]]) -> Fitted:
-    """The temperature of the best likelihood of the sample's languages, and each language's threshold."""
-    place = {x: k for k, x in enumerate(fitted.languages)}
-    rows = [(place[x], b) for x, b in sample if b is not None and x in place]
-    if not rows:
-        return fitted._replace(thresholds=tuple([float("inf")] * len(fitted.languages)))
-    truth, bits = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+def _calibrated(fitted: Fitted, found: DataFrame) -> Fitted:
+    """The temperature of the best likelihood of the languages of all rows (lang, bits), and each language's threshold."""
+    names = F.array(*map(F.lit, fitted.languages))
+    rows = found.where("bits IS NOT NULL").withColumn("own", F.get("bits", F.array_position(names, F.col("lang")).cast("int") - 1)).where("own IS NOT NULL")
+    best = F.array_min("bits")
+    steps = [float(t) for t in np.geomspace(1, 60, 25)]
 
-    def loss(t: float) -> float:
-        z = -bits * t
-        z -= z.max(axis=1, keepdims=True)
-        return -(z[np.arange(len(truth)), truth] - np.log(np.exp(z).sum(axis=1))).mean()
+    def loss(t: float) -> Column:
+        return F.log(F.aggregate("bits", F.lit(0.0), lambda a, b: a + F.exp((best - b) * t))) + (F.col("own") - best) * t
 
-    best = min((float(t) for t in np.geomspace(1, 60, 25)), key=loss)
-    limits = []
-    for k in range(len(fitted.languages)):
-        own = bits[truth == k, k]
-        limits.append(float(np.quantile(own, ACCEPT)) * 1.05 if len(own) else float("inf"))
-    return fitted._replace(temperature=best, thresholds=tuple(limits))
+    losses = list(rows.agg(*[F.avg(loss(t)) for t in steps]).first())
+    counts = rows.groupBy(F.col("lang").alias("column_name"), F.col("own").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    limits = {r["column_name"]: r["value"] * 1.05 for r in quantiles_of_counts(counts, [ACCEPT]).collect()}
+    temperature = fitted.temperature if losses[0] is None else steps[int(np.argmin(losses))]
+    return fitted._replace(temperature=temperature, thresholds=tuple(limits.get(x, float("inf")) for x in fitted.languages))
 
 
-def fit(train: DataFrame, block: int = BLOCK, calibration: int = CALIBRATION) -> Fitted:
-    """From (doc_id, body, lang) without null languages."""
+def fit(train: DataFrame, block: int = BLOCK, calibration: int | None = None) -> Fitted:
+    """From (doc_id, body, lang) without null languages. All rows calibrate the model, unless the caller bounds their number."""
     counted = save(_adjusted(save(_counted(train), "lang-grams")), "lang-adjusted")
     orders = counted.groupBy("lang", "m").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("adjusted") == 1).alias("one"), F.count_if(F.col("adjusted") == 2).alias("two")).collect()
     languages = sorted({r.lang for r in orders})
@@ -408,9 +406,8 @@ def fit(train: DataFrame, block: int = BLOCK, calibration: int = CALIBRATION) ->
     fitted = Fitted(languages, counted, exact, max(1, -(-long // block)))
     if not languages:
         return fitted
-    n = train.count()
-    few = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // calibration))) == 0).limit(calibration)
-    return _calibrated(fitted, [(r.lang, r.bits) for r in _entropies(few, fitted, "lang").collect()])
+    rows = train if calibration is None else train.orderBy(F.xxhash64("doc_id")).limit(calibration)
+    return _calibrated(fitted, save(_entropies(rows, fitted, "lang"), "lang-calibration"))
 
 
 def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

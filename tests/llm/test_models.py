@@ -394,3 +394,19 @@ def test_native_grams_are_the_trainers(spark):
 def test_licence_plan_has_no_python(messy, licences):
     plan = license_scan.document_licences(messy, licences)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_language_thresholds_come_from_all_training_rows(spark):
+    """One text in 6,000 is the worst of its language: only a fit that reads every row has it in the temperature's likelihood and the quantile."""
+    import numpy as np
+    from listinglab.llm import language_id as LI
+    from pyspark.sql import functions as F
+
+    n = 6000
+    rows = spark.range(n).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("lang"), F.col("id").cast("double").alias("x"))
+    found = rows.select("lang", F.when(F.col("lang") == "a", F.array(F.col("x"), F.lit(9000.0))).otherwise(F.array(F.lit(9000.0), F.col("x"))).alias("bits"))
+    got = LI._calibrated(LI.Fitted(["a", "b"], None, None, 1), found)
+    want = [float(np.quantile(np.arange(k, n, 2), LI.ACCEPT)) * 1.05 for k in (0, 1)]
+    assert list(got.thresholds) == pytest.approx(want) and 1 <= got.temperature <= 60
+    none = LI._calibrated(LI.Fitted(["a", "b"], None, None, 1), found.where("false"))
+    assert none.thresholds == (float("inf"),) * 2 and none.temperature == 30.0
