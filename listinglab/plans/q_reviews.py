@@ -64,9 +64,10 @@ def s2_read_reviews(spark, sf):
 @register("s3_read_info", with_info(
     "SELECT s_name AS name, count(*) AS n FROM inf GROUP BY ALL"))
 def s3_read_info(spark, sf):
-    """Every record a file of its own, dealt over the cores, in one folder."""
+    """Every source a file of its own, dealt over the cores, in one folder."""
     path = work_path(spark, "info-text")
-    records = info(spark, sf).select("text").repartition(4 * spark.sparkContext.defaultParallelism)
+    # A source that repeats is one file, as a folder for each would have it.
+    records = info(spark, sf).groupBy("source").agg(F.array_join(F.collect_list("text"), "\n").alias("text")).select("text").repartition(4 * spark.sparkContext.defaultParallelism)
     records.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     back = S.read_info(spark, path)
     parsed = back.select(T.field(F.col("text"), T.INFO_PATTERNS["name"]).alias("name"))
