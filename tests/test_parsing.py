@@ -86,6 +86,15 @@ def test_policy_literals(spark):
     assert labels == ["a", "b c"]
 
 
+def test_long_policy_items(spark):
+    """An item of any length is read: a pattern with a choice for each character ends in a StackOverflowError."""
+    long = "é, x " * 40_000
+    for items in ([f"- {long}", "- b"], [f"it's {long}", "say 'b'"], [f'a\\ "{long}"', "b\n"]):
+        assert _one(spark, P.policy_list, repr(items)) == items
+    assert _one(spark, P.policy_list, f"['{long}") == []
+    assert _one(spark, P.policy_list, "[ 'a' , '', \"\u0001\", ]") == ["a", "", "\u0001"]
+
+
 def test_location(spark):
     assert _one(spark, P.location_name, "Hà Nội (HAN)") == "Hà Nội"
     assert _one(spark, P.location_code, "Hà Nội (HAN)") == "HAN"
