@@ -98,3 +98,15 @@ def test_onehot_sums_make_no_dense_vectors(spark, sf):
     from listinglab.plans.q_model import m5_onehot
 
     assert "vector_to_array" not in optimized(m5_onehot(spark, sf)).lower() and "arrays_zip" in optimized(m5_onehot(spark, sf))
+
+
+def test_constant_columns_need_no_table_of_values(spark):
+    rows = [(1, -0.0, float("nan"), ["a"], None, "x", None), (1, 0.0, float("nan"), ["a"], None, None, "a"), (1, None, None, None, None, "x", "b")]
+    schema = "i int, z double, nan double, l array<string>, n string, s string, t string"
+    df = spark.createDataFrame(rows, schema)
+    found = A.constant_columns(df, df.columns)
+    assert sorted(tuple(r) for r in found.collect()) == [("i", 1), ("l", 1), ("n", 0), ("nan", 1), ("s", 1)]
+    assert found.dtypes == [("column_name", "string"), ("num_values", "bigint")]
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    empty = A.constant_columns(df.where("i > 1"), ["i", "l"])
+    assert sorted(tuple(r) for r in empty.collect()) == [("i", 0), ("l", 0)]
