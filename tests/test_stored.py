@@ -66,6 +66,16 @@ def test_hashed_table_touches_what_it_hits(spark, tmp_path):
         HT.create_hashed(spark, path, rows.schema, ["k"], 4)
 
 
+def test_hashed_table_writes_a_touched_folder_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    HT.create_hashed(spark, path, rows.schema, ["k"], 4)
+    for part in (rows.where("k < 30"), rows, rows.withColumn("v", F.lit(-1).cast("long"))):
+        HT.load_hashed(spark, path, part)
+    assert sorted((r.k, r.v) for r in HT.read_hashed(spark, path).collect()) == [(k, 2 * k) for k in range(50)]
+    assert not list((tmp_path / "t").glob("*-final"))
+
+
 def test_counts_follow_inserts_and_deletes(spark):
     rng = np.random.default_rng(4)
     schema = "g string, v string, x long"
