@@ -1,6 +1,7 @@
 """The element tree of saved pages (S7-S9), and what never runs uncompiled (L1)."""
 
 from listinglab.session import configure
+from listinglab.sources import html as H
 from listinglab.sources.html import Page, info_records, listing_rows, review_rows
 
 
@@ -39,3 +40,24 @@ def test_no_stage_of_the_clean_chain_runs_uncompiled(spark):
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "9000")
     assert configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "9000"
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def _events(page: Page) -> tuple:
+    return page.tags, page.classes, page.links, page.last, [page.text(k) for k in range(len(page.tags))], page.kinds, "".join(page.pieces)
+
+
+def test_regular_tags_are_read_without_the_tokenizer(monkeypatch):
+    """Pages of regular tags alone do not go through the tokenizer; they and all others give what it gives."""
+    regular = ["<!DOCTYPE html><div class='a  b' id=1>x &lt; &amp;amp; y > z<br/><img src=x.png><a HREF='/q?a=1&amp;b=2' href=z>t</a></div >tail &amp",
+               "<ul><li>1<li>2<table><tr><td>a<td>b</table></ul></b><!-- note --><P/><p class = q>&nbsp;\n", "", "plain &eacute;"]
+    other = ["<p title='a>b'>x</p>", "a < b <p>c", "<script>if (a<b) '</p>'</script><p>x", "<a b=x'y c='z'>t</a>", "<p", "<p class=a", "<!-- <p> --><p>x", "<a b='>t</a>", "</>x<>",
+             "<style>p > a</style>", "<?x y><p>z", "<!-->x--><p>"]
+    cases = [*regular, *other, *[a + b for a in regular for b in other]]
+    got = [_events(Page(x)) for x in cases]
+    with monkeypatch.context() as m:
+        m.setattr(H, "_regular_tags", lambda html: None)
+        assert got == [_events(Page(x)) for x in cases]
+    monkeypatch.setattr(Page, "feed", lambda self, html: (_ for _ in ()).throw(AssertionError(html)))
+    assert [_events(Page(x)) for x in regular] == got[:len(regular)]
+    monkeypatch.setattr(H, "HELD_TAGS", 3)   # a worker keeps a bounded number of tags
+    assert _events(Page("".join(f"<p class=c{k}>" for k in range(50))))[1] == [f"c{k}" for k in range(50)] and len(H._HELD) <= 3
