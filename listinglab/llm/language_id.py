@@ -248,6 +248,19 @@ def kneser_ney(rows: dict[str, np.ndarray], languages: list[str], exact: Statist
     return Model(languages, letters, unseen, grams, contexts, block, blocks)
 
 
+class _Places(dict):
+    """Places of words: a word that is looked up for the first time gets the next place, and is kept in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        place = self[word] = len(self)
+        return place
+
+
 class _Reader:
     """A worker's view of a block: sums of a text's words, with the words and the character windows it has seen kept (a bounded number)."""
 
@@ -258,7 +271,7 @@ class _Reader:
         self.keys, self.scores = np.zeros(0, np.uint64), np.zeros((0, self.wide))
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.values = np.zeros((1 << 14, self.wide + 1))
 
     def words(self, words: list[str]) -> np.ndarray:
@@ -293,19 +306,18 @@ class _Reader:
         """By text: log-probability per language, and the number of characters."""
         if len(self.place) > HELD_WORDS:
             self._clear()
-        texts_ = [tokens(b) for b in bodies]
-        new = list({t for own in texts_ for t in own if t not in self.place})
+        start, get = len(self.place), self.place.__getitem__
+        # One look-up for a token: it finds the word's place or gives it one.
+        places = [np.fromiter(map(get, own), np.int64, len(own)) for own in map(tokens, bodies)]
+        new, self.place.new = self.place.new, []
         runs = [(t,) if t.isalpha() else letter_runs(t) for t in new]
         owner = np.repeat(np.arange(len(new)), [len(r) for r in runs])
         by_run = self.words([w for r in runs for w in r])
-        start = len(self.place)
         while len(self.values) < start + len(new):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
         for k in range(by_run.shape[1]):
             self.values[start:start + len(new), k] = np.bincount(owner, by_run[:, k], len(new))
-        self.place.update(zip(new, range(start, start + len(new)), strict=True))
-        get = self.place.__getitem__
-        return np.array([self.values[np.fromiter(map(get, own), np.int64, len(own))].sum(axis=0) for own in texts_])
+        return np.array([self.values[own].sum(axis=0) for own in places])
 
 
 #: The block that a worker reads now: tasks that follow find its tables warm, and the one before is let go.

@@ -410,3 +410,30 @@ def test_language_thresholds_come_from_all_training_rows(spark):
     assert list(got.thresholds) == pytest.approx(want) and 1 <= got.temperature <= 60
     none = LI._calibrated(LI.Fitted(["a", "b"], None, None, 1), found.where("false"))
     assert none.thresholds == (float("inf"),) * 2 and none.temperature == 30.0
+
+
+def test_a_word_is_looked_up_once_for_a_token(monkeypatch):
+    """A worker finds or places a token's word in one look-up, and forgets words when it holds too many, with the same sums."""
+    looked: Counter = Counter()
+
+    class Word(str):
+        def __hash__(self):
+            looked[str(self)] += 1
+            return super().__hash__()
+
+        __eq__ = str.__eq__
+
+    rows = {"lang": np.zeros(2, np.int64), "m": np.ones(2, np.int64), "gram": np.array([97, 98], np.uint64), "c": np.array([3, 1]),
+            **{k: np.zeros(2, np.uint64) for k in ("suffix", "context")}, "starts": np.zeros(2, bool)}
+    none = [None] * 2 + [language_id._entries(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))] * 4
+    model = language_id.kneser_ney(rows, ["x"])._replace(grams=none, contexts=none)
+    plain = language_id._Reader(model).sums([b"ab ab 7 b", b"", b"b ab a-b"])
+    assert plain[:, -1].tolist() == [3 + 3 + 2, 0, 2 + 3 + 4]
+    split = language_id.tokens
+    monkeypatch.setattr(language_id, "tokens", lambda body: [Word(t) for t in split(body)])
+    reader = language_id._Reader(model)
+    assert (reader.sums([b"ab ab 7 b", b"", b"b ab a-b"]) == plain).all()
+    looked.clear()
+    assert (reader.sums([b"ab ab 7 b", b"", b"b ab a-b"]) == plain).all() and looked == {"ab": 3, "7": 1, "b": 2, "a-b": 1}
+    monkeypatch.setattr(language_id, "HELD_WORDS", 1)
+    assert (reader.sums([b"b ab a-b"]) == plain[2:]).all() and len(reader.place) == 3
