@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import own_shuffles, work_path
 
 
 def write_bucketed(df: DataFrame, key: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
@@ -26,7 +26,8 @@ def write_bucketed(df: DataFrame, key: Sequence[str], buckets: int, path: str |
     path = path or work_path(spark, "bucketed")
     # Rows are dealt by the bucket's own hash, so each bucket is one file and is read by one task.
     rows = df.repartition(buckets, *[F.col(f"`{c}`") for c in key])
-    (rows.write.format("parquet").option("path", path).bucketBy(buckets, key[0], *key[1:]).sortBy(key[0], *key[1:]).saveAsTable(name))
+    with own_shuffles(spark):
+        rows.write.format("parquet").option("path", path).bucketBy(buckets, key[0], *key[1:]).sortBy(key[0], *key[1:]).saveAsTable(name)
     return spark.table(name)
 
 
@@ -40,5 +41,6 @@ def write_lookup(df: DataFrame, path: str, cluster_by: str, also: Sequence[str]
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if row_group_bytes:
         writer = writer.option("parquet.block.size", str(row_group_bytes))
-    writer.parquet(path)
+    with own_shuffles(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

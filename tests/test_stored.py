@@ -110,3 +110,23 @@ def test_sketches_merge_over_days(spark):
     for r in SK.quantiles(days, [0.1, 0.5, 0.9], 5, 24).where("column_name = 'x'").collect():
         below = part.where(F.col("x") <= r.value).count() / 40_000
         assert abs(below - r.share) <= SK.RANK_ERROR
+
+
+def test_a_load_leaves_its_table_alone(spark, tmp_path):
+    """The plan of the new rows runs once a load, and nothing of a load stays beside the folders."""
+    mark, path = tmp_path / "mark", str(tmp_path / "t")
+    mark.mkdir()
+
+    def passed(batches):
+        import pathlib
+        import uuid
+
+        pathlib.Path(str(mark), uuid.uuid4().hex).touch()
+        yield from batches
+
+    rows = spark.range(40, numPartitions=1).selectExpr("id AS k", "id % 7 AS v")
+    HT.create_hashed(spark, path, rows.schema, rows.columns, 4)
+    loads = [HT.load_hashed(spark, path, r.mapInArrow(passed, r.schema)) for r in (rows.where("k < 30"), rows, rows)]
+    assert [x["added"] for x in loads] == [30, 10, 0] and len(list(mark.iterdir())) == 3
+    assert sorted(f.name for f in (tmp_path / "t").iterdir()) == ["_table", "data"]
+    assert HT.read_hashed(spark, path).count() == 40
