@@ -112,6 +112,18 @@ def test_sketches_merge_over_days(spark):
         assert abs(below - r.share) <= SK.RANK_ERROR
 
 
+def test_the_load_that_is_run_again_has_all_rows(spark, sf, monkeypatch):
+    from listinglab.plans import q_stored as QS
+
+    loads, load = [], HT.load_hashed
+    monkeypatch.setattr(HT, "load_hashed", lambda s, path, new: loads.append((new.count(), load(s, path, new))) or loads[-1][1])
+    rows = QS.i2_hashed_load(spark, sf).collect()
+    assert all(r.rerun_adds_nothing and r.few_folders for r in rows)
+    (first, _), (whole, _), (again, found), (few, narrow) = loads
+    assert first < whole == again == sum(r.n for r in rows) and found == {"touched": 0, "read": 32, "added": 0}
+    assert 4 < few < whole and narrow["read"] == 4
+
+
 def test_a_load_leaves_its_table_alone(spark, tmp_path):
     """The plan of the new rows runs once a load, and nothing of a load stays beside the folders."""
     mark, path = tmp_path / "mark", str(tmp_path / "t")
