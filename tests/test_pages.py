@@ -61,3 +61,20 @@ def test_regular_tags_are_read_without_the_tokenizer(monkeypatch):
     assert [_events(Page(x)) for x in regular] == got[:len(regular)]
     monkeypatch.setattr(H, "HELD_TAGS", 3)   # a worker keeps a bounded number of tags
     assert _events(Page("".join(f"<p class=c{k}>" for k in range(50))))[1] == [f"c{k}" for k in range(50)] and len(H._HELD) <= 3
+
+
+def test_pages_of_the_same_tags_share_their_tree(monkeypatch):
+    """Their texts alone differ; empty ones, references and a bounded number of trees included."""
+    page = "<div class=x>{}<p>{}<b>{}</b>{}<ul><li>{}<li>{}</ul></div>{}"
+    filled = [page.format(*("" if (k >> j) & 1 else f"t{k}&amp;{j} > " for j in range(7))) for k in range(128)]
+    monkeypatch.setattr(H, "_SHAPES", {})
+    got = [_events(Page(x)) + (Page(x).all("li", None, 0), Page(x).outermost("div")) for x in filled]
+    assert len(H._SHAPES) == 1 and Page(filled[0]).tags is Page(filled[1]).tags
+    with monkeypatch.context() as m:
+        m.setattr(H, "_regular_tags", lambda html: None)
+        assert got == [_events(Page(x)) + (Page(x).all("li", None, 0), Page(x).outermost("div")) for x in filled]
+    monkeypatch.setattr(H, "HELD_SHAPES", 3)
+    for k in range(20):
+        assert Page("<p>" * k + "a").tags == ["p"] * k and len(H._SHAPES) <= 3
+    monkeypatch.setattr(H, "SHAPE_TAGS", 1)
+    assert Page("<i><i>a<b>c").text(1) == "ac" and len(H._SHAPES) <= 3
